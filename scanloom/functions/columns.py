@@ -112,17 +112,24 @@ def inverse(q, t):
     return c, tuple(-a for a in r)
 
 
-def slerp(a, b, u):
-    """Shortest path; near-parallel inputs are interpolated linearly."""
-    dot = sum((x * y for x, y in zip(a, b)), F.lit(0.0))
-    s = F.when(dot < 0, -1.0).otherwise(1.0)
-    d = F.least(F.abs(dot), F.lit(1.0))
-    theta = F.acos(d)
-    flat = d > 0.9995
-    sin = F.when(flat, F.lit(1.0)).otherwise(F.sin(theta))
-    wa = F.when(flat, 1.0 - u).otherwise(F.sin((1.0 - u) * theta) / sin)
-    wb = F.when(flat, u).otherwise(F.sin(u * theta) / sin)
-    return q_normalise(tuple(x * wa + y * s * wb for x, y in zip(a, b)))
+def with_slerp(df, a: str, b: str, ratio: str, out: str = "q"):
+    """Shortest-path interpolation of the quaternion columns ``{a}x..w`` and
+    ``{b}x..w``; near-parallel inputs are interpolated linearly.  Built in steps
+    so that shared terms are computed once."""
+    ax = "xyzw"
+    for p in (a, b):
+        df = df.withColumn(f"_n_{p}", F.sqrt(sum((F.col(f"{p}{k}") * F.col(f"{p}{k}") for k in ax), F.lit(0.0))))
+        df = df.withColumns({f"_{p}{k}": F.col(f"{p}{k}") / F.col(f"_n_{p}") for k in ax})
+    df = df.withColumn("_dot", sum((F.col(f"_{a}{k}") * F.col(f"_{b}{k}") for k in ax), F.lit(0.0)))
+    df = df.withColumns({"_sgn": F.when(F.col("_dot") < 0, -1.0).otherwise(1.0), "_th": F.acos(F.least(F.abs("_dot"), F.lit(1.0))), "_flat": F.abs("_dot") > 0.9995})
+    u = F.col(ratio)
+    df = df.withColumn("_sin", F.when(F.col("_flat"), 1.0).otherwise(F.sin("_th")))
+    df = df.withColumns({"_wa": F.when(F.col("_flat"), 1.0 - u).otherwise(F.sin((1.0 - u) * F.col("_th")) / F.col("_sin")),
+                         "_wb": F.col("_sgn") * F.when(F.col("_flat"), u).otherwise(F.sin(u * F.col("_th")) / F.col("_sin"))})
+    df = df.withColumns({f"_r{k}": F.col(f"_{a}{k}") * F.col("_wa") + F.col(f"_{b}{k}") * F.col("_wb") for k in ax})
+    df = df.withColumn("_rn", F.sqrt(sum((F.col(f"_r{k}") * F.col(f"_r{k}") for k in ax), F.lit(0.0))))
+    df = df.withColumns({f"{out}{k}": F.col(f"_r{k}") / F.col("_rn") for k in ax})
+    return df.drop("_dot", "_sgn", "_th", "_flat", "_sin", "_wa", "_wb", "_rn", f"_n_{a}", f"_n_{b}", *[f"_{p}{k}" for p in (a, b, "r") for k in ax])
 
 
 def rotation_angle_deg(a, b):

@@ -129,9 +129,9 @@ def halo_chunks(df: DataFrame, keys: Sequence[str], idx: str, before: int, after
 
 
 def asof(left: DataFrame, right: DataFrame, t: str, keys: Sequence[str] = (), payload: Sequence[str] = (),
-         rows_per_split: int | None = None) -> DataFrame:
+         rows_per_split: int | None = None, prev_strict: bool = False, next_strict: bool = False) -> DataFrame:
     """Attach the last right row at or before ``t`` (``prev_*``) and the first at
-    or after it (``next_*``).  Right stamps must be unique per key; the first
+    or after it (``next_*``); ``*_strict`` excludes an equal stamp.  Right stamps must be unique per key; the first
     and last right row of neighbouring splits are added to a split as halo."""
     cols = [t, *payload]
     lcols = [c for c in left.columns]
@@ -154,8 +154,8 @@ def asof(left: DataFrame, right: DataFrame, t: str, keys: Sequence[str] = (), pa
         sp = sp.unionByName(halo, allowMissingColumns=True)
     side = F.col("_l").isNotNull()
     part = [*keys, "_split"] if n > 1 or not keys else list(keys)
-    up = W.partitionBy(*part).orderBy(F.col("_t"), side).rowsBetween(W.unboundedPreceding, W.currentRow)
-    down = W.partitionBy(*part).orderBy(F.col("_t").desc(), side).rowsBetween(W.unboundedPreceding, W.currentRow)
+    up = W.partitionBy(*part).orderBy(F.col("_t"), side.desc() if prev_strict else side.asc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    down = W.partitionBy(*part).orderBy(F.col("_t").desc(), side.desc() if next_strict else side.asc()).rowsBetween(W.unboundedPreceding, W.currentRow)
     hit = sp.select("_l", F.last("_r", True).over(up).alias("_p"), F.last("_r", True).over(down).alias("_n")).filter(side)
     return hit.select("_l.*", *[F.col("_p")[c].alias(f"prev_{c}") for c in cols], *[F.col("_n")[c].alias(f"next_{c}") for c in cols])
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scanloom.functions import columns as C
 from scanloom.operators import ordered as O
+from scanloom.session import cut
 
 #: Record order inside a frame; rows equal in all of these are interchangeable.
 ORDER = ("seq", "x", "y", "z", "ring", "rgb")
@@ -300,16 +301,19 @@ def voxel_planes(points: DataFrame, size: float, threshold: float, min_points: i
     s = {p: F.col(f"s_{p}") for p in ("xx", "xy", "xz", "yy", "yz", "zz")}
     l = F.col("lam_min")
     rows = [(s["xx"] - l, s["xy"], s["xz"]), (s["xy"], s["yy"] - l, s["yz"]), (s["xz"], s["yz"], s["zz"] - l)]
-    cands = [C.cross(rows[0], rows[1]), C.cross(rows[0], rows[2]), C.cross(rows[1], rows[2])]
-    box = F.array_max(F.array(*[F.struct((c[0] * c[0] + c[1] * c[1] + c[2] * c[2]).alias("n2"), c[0].alias("x"), c[1].alias("y"), c[2].alias("z")) for c in cands]))
-    m = m.withColumn("_n", box)
-    n2 = F.sqrt("_n.n2")
-    sign = F.when(F.col("_n.z") < 0, -1.0).otherwise(1.0)
-    m = m.withColumns({f"normal_{a}": F.when(n2 > 0, sign * F.col(f"_n.{a}") / F.when(n2 > 0, n2).otherwise(1.0)) for a in "xyz"}).drop("_n")
+    for i, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
+        m = m.withColumns({f"_c{i}{ax}": v for ax, v in zip("xyz", C.cross(rows[a], rows[b]))})
+    m = m.withColumns({f"_n{i}": C.hypot(f"_c{i}x", f"_c{i}y", f"_c{i}z") for i in range(3)})
+    m = m.withColumn("_top", F.greatest("_n0", "_n1", "_n2"))
+    for ax in "xyz":
+        m = m.withColumn(f"_u{ax}", F.when(F.col("_n0") == F.col("_top"), F.col(f"_c0{ax}")).when(F.col("_n1") == F.col("_top"), F.col(f"_c1{ax}")).otherwise(F.col(f"_c2{ax}")))
+    scale = F.when(F.col("_top") > 0, F.when(F.col("_uz") < 0, -1.0).otherwise(1.0) / F.col("_top"))
+    m = m.withColumns({f"normal_{ax}": F.col(f"_u{ax}") * scale for ax in "xyz"})
+    m = m.drop("_top", *[f"_{k}{ax}" for k in ("c0", "c1", "c2", "u") for ax in "xyz"], "_n0", "_n1", "_n2")
     m = m.withColumns({"planar": F.col("lam_min") < threshold, "radius": F.sqrt(F.greatest(F.col("lam_max"), F.lit(0.0))),
                        "layer": F.lit(layer), "size": F.lit(float(size))})
     good = m.filter("planar").drop("planar")
     if layer >= max_layer:
         return good
-    rest = keyed.join(m.filter(~F.col("planar")).select("ix", "iy", "iz"), ["ix", "iy", "iz"]).select("x", "y", "z")
+    rest = cut(keyed.join(m.filter(~F.col("planar")).select("ix", "iy", "iz"), ["ix", "iy", "iz"]).select("x", "y", "z"))
     return good.unionByName(voxel_planes(rest, size / 2, threshold, min_points, layer + 1, max_layer, compat))
