@@ -296,7 +296,7 @@ def voxel_planes(points: DataFrame, size: float, threshold: float, min_points: i
     key = C.cell_trunc if compat else C.cell
     keyed = points.withColumns({n: key(c, size) for c, n in zip("xyz", ("ix", "iy", "iz"))})
     m = moments(keyed, ["ix", "iy", "iz"]).filter(F.col("n") >= min_points)
-    m = C.with_eig3(m)
+    m = cut(C.with_eig3(m))
     # Normal: the longest cross product of two rows of (S - lam_min I).
     s = {p: F.col(f"s_{p}") for p in ("xx", "xy", "xz", "yy", "yz", "zz")}
     l = F.col("lam_min")
