@@ -152,10 +152,8 @@ def box_ground(points: DataFrame, boxes: DataFrame, margin: float = 1.0, min_poi
     3 x tries ring points with the smallest hash (a bounded top-k); all ring
     points then vote, and the winner is refitted from sums over its inliers."""
     keys = ["frame_id", "b_box_id"]
-    outer = box_params(boxes, False, margin)
     core = box_params(boxes, False).select("frame_id", F.col("box_id").alias("b_box_id"), *[F.col(c).alias(f"b_{c}") for c in ("x", "y", "z", "bc", "bs", "hx", "hy", "hz")])
     ring = points_in_boxes(points.select("frame_id", "x", "y", "z"), boxes, False, margin).join(core, keys).filter(~inside()).select(*keys, "x", "y", "z")
-    del outer
     ring = cut(ring)
     n = ring.groupBy(*keys).agg(F.count(F.lit(1)).alias("ring"))
     w = W.partitionBy(*keys).orderBy(F.xxhash64("x", "y", "z"), "x", "y", "z")
