@@ -415,7 +415,7 @@ PAIRS = f"""sg AS MATERIALIZED (SELECT *, sqrt((bx-ax)*(bx-ax)+(by1-ay)*(by1-ay)
 
 
 def segs(t):
-    return t.sql(SEGS).withColumnRenamed("by1", "by")
+    return S.cut(t.sql(SEGS).withColumnRenamed("by1", "by"))
 
 
 @query("j19_parallel_pairs", f"WITH {PAIRS} SELECT inner_id, outer_id, round(overlap,5) AS overlap, round(separation,5) AS separation, amb AS ambiguous FROM pp")
