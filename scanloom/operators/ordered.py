@@ -144,12 +144,10 @@ def asof(left: DataFrame, right: DataFrame, t: str, keys: Sequence[str] = (), pa
             F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t"))).alias("_last"),
             F.min_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t"))).alias("_first"))
         by = W.partitionBy(*keys).orderBy("_split")
-        halo = per.select(
-            *keys, "_split",
-            F.explode(F.array(
-                F.last("_last", True).over(by.rowsBetween(W.unboundedPreceding, -1)),
-                F.last("_first", True).over(W.partitionBy(*keys).orderBy(F.desc("_split")).rowsBetween(W.unboundedPreceding, -1)))).alias("_r"),
-        ).filter(F.col("_r").isNotNull())
+        back = W.partitionBy(*keys).orderBy(F.desc("_split"))
+        edge = per.select(*keys, "_split", F.last("_last", True).over(by.rowsBetween(W.unboundedPreceding, -1)).alias("_b"),
+                          F.last("_first", True).over(back.rowsBetween(W.unboundedPreceding, -1)).alias("_a"))
+        halo = edge.select(*keys, "_split", F.explode(F.array("_b", "_a")).alias("_r")).filter(F.col("_r").isNotNull())
         halo = halo.select(*keys, F.col("_r")[t].alias("_t"), "_r", "_split")
         sp = sp.unionByName(halo, allowMissingColumns=True)
     side = F.col("_l").isNotNull()
