@@ -230,10 +230,10 @@ def _(t):
     return p.select("frame_id", ((C.hypot(*tr) < 1e-9) & (F.abs(q[3]) > 1 - 1e-12)).alias("identity"))
 
 
-@query("f_so3_exp_log", "SELECT frame_id, round(frame_id/4096.0,6)+0.0 AS wz FROM poses WHERE frame_id < 4096")
+@query("f_so3_exp_log", "SELECT frame_id, round(frame_id/4096.0,12)+0.0 AS wz FROM poses WHERE frame_id < 4096")
 def _(t):
     q = C.so3_exp((F.lit(0.0), F.lit(0.0), F.col("frame_id") / 4096.0))
-    return t.poses.filter("frame_id < 4096").select("frame_id", (F.round(C.so3_log(q)[2], 6) + 0.0).alias("wz"))
+    return t.poses.filter("frame_id < 4096").select("frame_id", (F.round(C.so3_log(q)[2], 12) + 0.0).alias("wz"))
 
 
 @query("f_rotation_error", "SELECT frame_id, round(degrees(abs((frame_id % 64)/64.0 - 0.5)),5)+0.0 AS deg FROM poses WHERE frame_id % 64 <> 32")

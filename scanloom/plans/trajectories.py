@@ -38,13 +38,13 @@ POSED = """WITH b AS (SELECT t_us, x, y, z, sin((event_id % 97)/64.0/2) qz, cos(
 @query("j02_pose_at_with_clamps", POSED + f""" r AS (SELECT *, CASE WHEN pt IS NULL THEN 1 WHEN nt IS NULL THEN 0 ELSE (t_us-pt)/(nt-pt) END u,
  CASE WHEN pt IS NULL THEN nt-t_us <= {HOUR_US} WHEN nt IS NULL THEN t_us-pt <= {HOUR_US} ELSE nt-pt <= {HOUR_US} END ok FROM m)
 SELECT event_id, ok AS matched, round(CASE WHEN ok THEN px+u*(nx-px) END,6) AS tx, round(CASE WHEN ok THEN py+u*(ny-py) END,6) AS ty,
- round(CASE WHEN ok THEN pa+u*(na-pa) END, 4) AS yaw FROM r""")
+ round(CASE WHEN ok THEN pa+u*(na-pa) END, 2) AS yaw FROM r""")
 def _(t):
     b = t.traj_b.withColumn("a", (F.col("event_id") % 97) / 64.0)
     poses = b.select("t_us", F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"), F.lit(0.0).alias("qx"), F.lit(0.0).alias("qy"),
                      F.sin(F.col("a") / 2).alias("qz"), F.cos(F.col("a") / 2).alias("qw"))
     m = J.pose_at(t.traj_a.select("event_id", "t_us"), poses, "t_us", HOUR_US)
-    return m.select("event_id", "matched", r6("tx").alias("tx"), r6("ty").alias("ty"), F.round(2 * F.atan2("qz", "qw"), 4).alias("yaw"))
+    return m.select("event_id", "matched", r6("tx").alias("tx"), r6("ty").alias("ty"), F.round(2 * F.atan2("qz", "qw"), 2).alias("yaw"))
 
 
 @query("j03_three_tier_position", br(">", "<=") + f""" SELECT event_id, CASE WHEN t_us-pt <= {HOUR_US // 4} THEN 'prev' WHEN nt-t_us <= {HOUR_US // 4} THEN 'next' WHEN nt-pt <= {HOUR_US // 2} THEN 'lerp' END AS tier,
@@ -79,10 +79,10 @@ CORR = """WITH k AS (SELECT frame_id id, ts, frame_id/4096.0 d, tx+frame_id/1024
  ty - (tx*sin(frame_id/4096.0) + ty*cos(frame_id/4096.0)) cy FROM poses)"""
 
 
-@query("j06_pose_pair_corrections", CORR + " SELECT id, round(cx,6) AS c_tx, round(cy,6) AS c_ty, round(d,6)+0.0 AS yaw FROM k")
+@query("j06_pose_pair_corrections", CORR + " SELECT id, round(cx,6) AS c_tx, round(cy,6) AS c_ty, round(d,12)+0.0 AS yaw FROM k")
 def _(t):
     pairs, _ = J.pose_pairs(raw(t), opt(t))
-    return pairs.select("id", r6("c_tx").alias("c_tx"), r6("c_ty").alias("c_ty"), (F.round(2 * F.atan2("c_qz", "c_qw"), 6) + 0.0).alias("yaw"))
+    return pairs.select("id", r6("c_tx").alias("c_tx"), r6("c_ty").alias("c_ty"), (F.round(2 * F.atan2("c_qz", "c_qw"), 12) + 0.0).alias("yaw"))
 
 
 @query("j06_pose_pair_violations", """SELECT coalesce(a.frame_id, b.frame_id) AS id, CASE WHEN b.frame_id IS NULL THEN 'missing optimised' WHEN a.frame_id IS NULL THEN 'missing raw' ELSE 'stamp differs' END AS violation
@@ -260,10 +260,14 @@ def _(t):
 SAMP = "SELECT frame_id AS id, tx AS x, ty AS y, 1 - 2 * qz * qz AS tx, 2 * qz * qw AS ty FROM poses"
 
 
-@query("j18_trajectory_crossings", f"""WITH s AS (SELECT *, CAST(floor(x/2) AS BIGINT) ix, CAST(floor(y/2) AS BIGINT) iy FROM ({SAMP}))
+#: Laps a metre apart, driven in varying directions.
+LAPS = "SELECT frame_id AS id, tx AS x, ty / 8 AS y, COS((frame_id % 5) * 0.375D0) AS tx, SIN((frame_id % 5) * 0.375D0) AS ty FROM poses"
+
+
+@query("j18_trajectory_crossings", f"""WITH s AS (SELECT *, CAST(floor(x/2) AS BIGINT) ix, CAST(floor(y/2) AS BIGINT) iy FROM ({LAPS.replace('D0', '::double')}))
 SELECT DISTINCT a.id FROM s a JOIN s b ON abs(a.ix-b.ix)<=1 AND abs(a.iy-b.iy)<=1 AND abs(a.id-b.id)>15 AND sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) <= 3 AND abs(a.tx*b.tx+a.ty*b.ty) < 0.82""")
 def _(t):
-    return J.crossings(t.sql(SAMP))
+    return J.crossings(t.sql(LAPS))
 
 
 @query("j23_scan_inertial_bundles", """WITH b AS (SELECT t_us, event_id image_id FROM traj_b), i AS (SELECT a.event_id, 'imu' kind, n.image_id bundle_id, a.t_us-p.t_us rebased FROM traj_a a ASOF LEFT JOIN b n ON a.t_us <= n.t_us ASOF LEFT JOIN b p ON a.t_us > p.t_us),
