@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,8 +21,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only
-    where neither the setting nor a context checkpoint folder exists."""
+    """The shared folder named by ``spark.checkpoint.dir``; on a local master
+    without that setting a temporary one, on a cluster an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if named:
@@ -31,17 +30,34 @@ def checkpoint_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scanloom-"))
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="scanloom-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss and cuts the lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written tables."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, survives the
+    loss of executors, and the new plan's size estimate is that of the files
+    (a checkpoint would hand on the old plan's estimate, which joins multiply)."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the files of tables made by ``cut`` that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        root = checkpoint_root(spark).removeprefix("file:").rstrip("/").lstrip("/")
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if f"/{root}/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
