@@ -14,14 +14,17 @@ being named in the index, so failed or repeated attempts do no harm.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -33,6 +36,8 @@ from scanloom.session import scratch
 MAGIC = b"SLREC1\n"
 #: A file is closed after the record that takes it over this size.
 FILE_BYTES = 128 << 20
+#: Pieces that a worker process remembers the ids of.
+PIECES = 500_000
 INDEX = "part int, roll int, file string, doc_id bigint, offset bigint, n_bytes bigint"
 #: What \s means to the tokenizer's pattern (the White_Space property): fixed values.
 SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -46,24 +51,44 @@ def masked(data: bytes) -> int:
     return (((c >> 15) | (c << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+class _Known:
+    """Ids of pieces met before in this worker process, first come, up to ``PIECES``."""
+
+    def __init__(self, path: str):
+        self.tok, self.row, self.flat, self.first = common.tokenizer(path), {}, array("I"), array("q", [0])
+
+    def rows(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The row of each piece, with first and flat of the ids of all rows."""
+        at = np.fromiter(map(self.row.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        miss = np.nonzero(at < 0)[0].tolist()
+        new = {p: n for n, p in enumerate(dict.fromkeys(pieces[i] for i in miss), len(self.first) - 1)}
+        for e in self.tok.encode_batch(list(new), add_special_tokens=False):
+            self.flat.extend(e.ids)
+            self.first.append(len(self.flat))
+        at[miss] = [new[pieces[i]] for i in miss]
+        first, flat = np.array(self.first, np.int64), np.array(self.flat, np.uint32)
+        kept = max(0, min(len(new), PIECES - len(self.row)))
+        self.row.update(itertools.islice(new.items(), kept))
+        if kept < len(new):
+            del self.first[len(self.row) + 1:]
+            del self.flat[self.first[-1]:]
+        return at, first, flat
+
+
+_known = functools.lru_cache(maxsize=2)(_Known)
+
+
 def encode(texts: list[str], path: str, end_id: int | None) -> list[np.ndarray]:
-    """Ids of each text.  Texts are cut at safe places and each distinct piece of
-    the block is encoded once."""
-    tok = common.tokenizer(path)
+    """Ids of each text.  Texts are cut at safe places and each distinct piece is
+    encoded once, a bounded number of pieces being remembered between calls."""
     pieces, ends = [], [0]
     for t in texts:
         pieces += PIECE.findall(t)
         ends.append(len(pieces))
-    coded = pa.array(pieces, pa.string()).dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    ids = [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
-    first = np.concatenate([[0], np.cumsum(size)])
-    at = coded.indices.to_numpy(zero_copy_only=False)
-    n = size[at] if len(at) else np.zeros(0, np.int64)
+    at, first, flat = _known(path).rows(pieces)
+    n = first[at + 1] - first[at]
     to = np.concatenate([[0], np.cumsum(n)])
-    out = flat[np.repeat(first[at] - to[:-1], n) + np.arange(to[-1])] if to[-1] else np.zeros(0, np.uint32)
+    out = flat[np.repeat(first[at] - to[:-1], n) + np.arange(to[-1])]
     tail = np.array([] if end_id is None else [end_id], np.uint32)
     return [np.concatenate([out[to[a]:to[b]], tail]) for a, b in zip(ends, ends[1:])]
 
@@ -100,7 +125,7 @@ def write(df: DataFrame, root: str, path: str, end_id: int | None = None, id_col
         try:
             for b in batches:
                 ids, texts = b.column(0).to_pylist(), b.column(1)
-                sizes = pa.compute.binary_length(texts).to_pylist()
+                sizes = pc.binary_length(texts).to_pylist()
                 for lo, hi in common.blocks(sizes):
                     rows = []
                     for doc_id, tokens in zip(ids[lo:hi], encode(texts.slice(lo, hi - lo).to_pylist(), path, end_id)):
