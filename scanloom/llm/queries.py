@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from scanloom.llm import binary_records, token_counts
+from pyspark.sql import functions as F
+
+from scanloom.llm import binary_records, exact_dedup, mixing, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -36,3 +38,27 @@ def op1(spark, sf_dir):
 @query("op4_token_counts")
 def op4(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+@query("op2_poisson_mix", mixing.SQL)
+def op2(spark, sf_dir):
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "lang", F.md5("text").alias("text_md5"), "copy")
+
+
+@query("op3_extendible_shards", shards.SQL.format(limit=shards.SHARD_BYTES))
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = shards.assign(docs)
+    return out.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "shard", "shard_depth", "shard_bytes", "shard_rows")
+
+
+@query("op6_exact_dedup", exact_dedup.SQL)
+def op6(spark, sf_dir):
+    out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op8_simhash")
+def op8(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, limit=2, segments=2)
