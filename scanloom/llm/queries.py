@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from scanloom.llm import binary_records, exact_dedup, mixing, shards, simhash, token_counts
+from scanloom.llm import binary_records, decontam, exact_dedup, kneser_ney, licenses, mixing, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -62,3 +62,18 @@ def op6(spark, sf_dir):
 @query("op8_simhash")
 def op8(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, limit=2, segments=2)
+
+
+@query("op7_kneser_ney_quality")
+def op7(spark, sf_dir):
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter("quality = 1"))
+
+
+@query("op9_license_scan", licenses.SQL)
+def op9(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_bm25_decontamination")
+def op10(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
