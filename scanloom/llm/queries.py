@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from scanloom.llm import binary_records, decontam, exact_dedup, kneser_ney, licenses, mixing, shards, simhash, token_counts
+from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, licenses, mixing, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -77,3 +77,8 @@ def op9(spark, sf_dir):
 @query("op10_bm25_decontamination")
 def op10(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_html_mincut")
+def op5(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages"))
