@@ -4,8 +4,8 @@ oversized buckets are split on another bit.
 A key is a column of ``BITS`` hash bits.  The directory is grown level by level from
 counts that are summed before they are shuffled, a few levels in one pass; what is
 still oversized at the deepest of these levels goes on alone.  Each pass leaves one
-page: slots of ``bits`` prefix bits with the depth of the bucket they point to (null:
-see the next page), so that a lookup is one equality join a page.
+page: the slots of ``bits`` prefix bits that point to a bucket (slots that are absent
+belong to the next page), so that a lookup is one equality join a page.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def grow(keys: DataFrame, limit: int, step: int = 8) -> list[tuple[int, DataFram
     ``w`` is at most ``limit`` or all rows have one hash.  Page columns: ``slot,
     depth, bucket, bucket_w, bucket_n``.  No rows give one page without slots."""
     total = keys.agg(F.sum("w")).first()[0] or 0
-    lo, hi, rest, pages = 0, min(BITS, max(1, math.ceil(math.log2(max(1, total / limit))) + 3)), keys, []
+    lo, hi, rest, pages = 0, min(BITS, max(1, math.ceil(math.log2(max(1, total / limit))) + 2)), keys, []
     while True:
         sums = [F.sum("w").alias("w"), F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b")]
         cells = cut(rest.groupBy(prefix(F.col("h"), hi).alias("slot")).agg(F.sum("w").alias("w"), F.count("*").alias("n"), F.min("h").alias("a"), F.max("h").alias("b")), "cells")
@@ -45,11 +45,11 @@ def grow(keys: DataFrame, limit: int, step: int = 8) -> list[tuple[int, DataFram
         above = levels.filter(~F.col("fits")).select((F.col("depth") + 1).alias("depth"), F.col("p").alias("q"), F.lit(True).alias("split"))
         leaf = (levels.filter("fits").withColumn("q", F.expr("shiftright(p, 1)")).join(above, ["depth", "q"], "left")
                 .filter(F.col("split") | (F.col("depth") == lo)).select("depth", F.col("p").alias("bucket"), F.col("w").alias("bucket_w"), F.col("n").alias("bucket_n")))
-        spread = cells.select("slot", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("depth")).withColumn("bucket", F.expr(f"shiftright(slot, {hi} - depth)"))
-        page = cells.select("slot").join(spread.join(leaf, ["depth", "bucket"]), "slot", "left")
-        page = cut(page.select("slot", "depth", "bucket", "bucket_w", "bucket_n"), "page")
+        # the directory: every slot of the deepest level points to the bucket over it
+        first = F.expr(f"shiftleft(bucket, {hi} - depth)")
+        page = cut(leaf.withColumn("slot", F.explode(F.sequence(first, first + F.expr(f"shiftleft(1L, {hi} - depth)") - 1))), "page")
         pages.append((hi, page))
-        over = page.filter(F.col("depth").isNull()).select("slot")
+        over = levels.filter((F.col("depth") == hi) & ~F.col("fits")).select(F.col("p").alias("slot"))
         if hi == BITS or over.isEmpty():
             return pages
         rest = cut(rest.withColumn("slot", prefix(F.col("h"), hi)).join(over, "slot", "left_semi").select("h", "w"), "oversized")
@@ -62,7 +62,7 @@ def look_up(df: DataFrame, pages: list[tuple[int, DataFrame]], h: str) -> DataFr
     enough for that, and splits skewed slots otherwise."""
     found = ["depth", "bucket", "bucket_w", "bucket_n"]
     for i, (bits, page) in enumerate(pages):
-        page = page.filter(F.col("depth").isNotNull()).select("slot", *(F.col(c).alias(f"_{c}") for c in found))
+        page = page.select("slot", *(F.col(c).alias(f"_{c}") for c in found))
         df = df.withColumn("slot", prefix(F.col(h), bits)).join(page, "slot", "left").drop("slot")
         df = df.select(*(c for c in df.columns if c not in found and not c.startswith("_")), *((F.coalesce(c, f"_{c}") if i else F.col(f"_{c}")).alias(c) for c in found))
     return df
