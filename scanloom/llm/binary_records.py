@@ -44,6 +44,9 @@ SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 #: A run of white space with what follows it.  The byte-level pattern never joins
 #: a non-space to white space after it, so cuts before such a run are safe.
 PIECE = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+INNER = re.compile(f"[{SPACES}]+[^{SPACES}]+").fullmatch
+#: Pieces that are encoded in one text.
+TOGETHER = 64
 
 
 def masked(data: bytes) -> int:
@@ -61,8 +64,21 @@ class _Known:
         """The row of each piece, with first and flat of the ids of all rows."""
         at = np.fromiter(map(self.row.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
         miss = np.nonzero(at < 0)[0].tolist()
-        new = {p: n for n, p in enumerate(dict.fromkeys(pieces[i] for i in miss), len(self.first) - 1)}
-        for e in self.tok.encode_batch(list(new), add_special_tokens=False):
+        new = dict.fromkeys(pieces[i] for i in miss)
+        # pieces of white space and more go to the library a few at a time; offsets tell their ids apart
+        inner, other = [], []
+        for p in new:
+            (inner if INNER(p) else other).append(p)
+        new = {p: n for n, p in enumerate(itertools.chain(inner, other), len(self.first) - 1)}
+        begin, size, base = array("q"), 0, len(self.flat)
+        for e in self.tok.encode_batch(["".join(inner[k:k + TOGETHER]) for k in range(0, len(inner), TOGETHER)], add_special_tokens=False):
+            offsets = e.offsets
+            begin.extend([size + o[0] for o in offsets])
+            self.flat.extend(e.ids)
+            size = size + offsets[-1][1]
+        ends = np.cumsum(np.fromiter(map(len, inner), np.int64, len(inner)))
+        self.first.extend((base + np.searchsorted(np.array(begin, np.int64), ends)).tolist())
+        for e in self.tok.encode_batch(other, add_special_tokens=False):
             self.flat.extend(e.ids)
             self.first.append(len(self.flat))
         at[miss] = [new[pieces[i]] for i in miss]
