@@ -230,16 +230,16 @@ def _(t):
     return p.select("frame_id", ((C.hypot(*tr) < 1e-9) & (F.abs(q[3]) > 1 - 1e-12)).alias("identity"))
 
 
-@query("f_so3_exp_log", "SELECT frame_id, round(frame_id/4096.0,12)+0.0 AS wz FROM poses WHERE frame_id < 4096")
+@query("f_so3_exp_log", "SELECT frame_id, round((frame_id % 4096)/4096.0,12)+0.0 AS wz FROM poses")
 def _(t):
-    q = C.so3_exp((F.lit(0.0), F.lit(0.0), F.col("frame_id") / 4096.0))
-    return t.poses.filter("frame_id < 4096").select("frame_id", (F.round(C.so3_log(q)[2], 12) + 0.0).alias("wz"))
+    q = C.so3_exp((F.lit(0.0), F.lit(0.0), F.col("frame_id") % 4096 / 4096.0))
+    return t.poses.select("frame_id", (F.round(C.so3_log(q)[2], 12) + 0.0).alias("wz"))
 
 
-@query("f_rotation_error", "SELECT frame_id, round(degrees(abs((frame_id % 64)/64.0 - 0.5)),5)+0.0 AS deg FROM poses WHERE frame_id % 64 <> 32")
+@query("f_rotation_error", "SELECT frame_id, round(degrees(abs((frame_id % 64)/64.0 - 0.5)),5)+0.0 AS deg FROM poses")
 def _(t):
     eye = (F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))
-    return t.poses.filter("frame_id % 64 <> 32").select("frame_id", (F.round(C.rotation_angle_deg(C.quat(), eye), 5) + 0.0).alias("deg"))
+    return t.poses.select("frame_id", (F.round(C.rotation_angle_deg(C.quat(), eye), 5) + 0.0).alias("deg"))
 
 
 @query("f_segment_geometry", """SELECT o_orderkey AS id, round(sqrt(power(greatest(0, x-4, -x),2)+y*y),6) AS point_distance, round(x*y/2,6) AS area, (x >= 0 AND x <= 4 AND y <= 0) AS crosses FROM (SELECT o_orderkey, o_custkey % 8 - 2.0::double x, o_custkey % 5 - 2.5::double y FROM orders)""")

@@ -95,7 +95,7 @@ def _(t):
     return E.edge_components(E.step_edges(ground(t)), tile=32).select("u", "v", "root_u", "root_v", "size")
 
 
-CELLS = "SELECT DISTINCT CAST(floor(x/0.25) AS BIGINT) AS ix, CAST(floor(y/0.25) AS BIGINT) AS iy FROM points WHERE is_ground AND seq > 128"
+CELLS = "SELECT DISTINCT CAST(floor(x/0.25) AS BIGINT) AS ix, CAST(floor(y/0.25) AS BIGINT) AS iy FROM points WHERE is_ground"
 
 
 @query("g03_four_connected_components", f"""WITH c AS MATERIALIZED ({CELLS}), nb AS MATERIALIZED (SELECT a.ix, a.iy, b.ix bx, b.iy byy FROM c a JOIN c b ON (a.ix=b.ix AND abs(a.iy-b.iy)=1) OR (a.iy=b.iy AND abs(a.ix-b.ix)=1)),
