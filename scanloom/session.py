@@ -52,12 +52,23 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folders(df: DataFrame):
+    """The folders a table was read from, with their file system."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        yield folder, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes on disk of a table made by ``cut``."""
+    return sum(fs.getContentSummary(path).getLength() for _, path, fs in _folders(df))
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete the files of tables made by ``cut`` that no later step reads."""
     for df in frames:
-        spark = df.sparkSession
-        root = checkpoint_root(spark).removeprefix("file:").rstrip("/").lstrip("/")
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        root = checkpoint_root(df.sparkSession).removeprefix("file:").rstrip("/").lstrip("/")
+        for folder, path, fs in _folders(df):
             if f"/{root}/" in folder:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                fs.delete(path, True)
