@@ -8,10 +8,22 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanloom.session import table_bytes
+
 #: Bytes of text that one step of a Python function holds besides its Arrow batch.
 BLOCK_BYTES = 4 << 20
 
 
+#: Largest table (Parquet bytes) that is sent to all executors.
+BROADCAST_BYTES = 16 << 20
+
+
+def sided(small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table as the small side of a join: broadcast where its measured size
+    is at most ``limit``, else for a sort-merge join, whose skewed partitions Spark splits."""
+    return F.broadcast(small) if table_bytes(small) <= limit else small.hint("merge")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

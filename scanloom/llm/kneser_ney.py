@@ -101,14 +101,14 @@ def classify(df: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, id_c
     read."""
     good = trusted.select(F.col("doc_id")).filter(F.col("doc_id").isNotNull()).distinct()
     grams = cut(document_grams(df, id_col, text_col, lang_col), "grams")
-    counts = cut(_words(_pairs(grams.join(good, "doc_id", "left_semi")).groupBy("lang", "g").agg(F.sum("k").alias("n")), "n"), "counts")
+    counts = cut(_words(_pairs(grams.join(good.hint("merge"), "doc_id", "left_semi")).groupBy("lang", "g").agg(F.sum("k").alias("n")), "n"), "counts")
     seen = _pairs(grams).select("lang", "g").distinct()
     logp = log_probabilities(_words(seen), counts).select("lang", F.concat_ws(" ", "x", "y", "z").alias("g"), "logp")
     logp = cut(logp, "logp").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     own = _pairs(grams).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    scored = own.join(logp, ["lang", "g", "shard"]).groupBy("doc_id", "lang").agg(F.sum("k").alias("n_tokens"), F.sum(F.col("k") * F.col("logp")).alias("s"))
+    scored = own.join(logp.hint("merge"), ["lang", "g", "shard"]).groupBy("doc_id", "lang").agg(F.sum("k").alias("n_tokens"), F.sum(F.col("k") * F.col("logp")).alias("s"))
     scored = cut(scored.select("doc_id", "lang", "n_tokens", F.exp(-F.col("s") / F.col("n_tokens")).alias("perplexity")), "scored")
-    limits = cut(scored.join(good, "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")), "limits")
+    limits = cut(scored.join(good.hint("merge"), "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")), "limits")
     out = scored.join(limits, "lang", "left")
     return out.select("doc_id", "lang", "n_tokens", "perplexity", "threshold", (F.col("threshold").isNull() | F.col("perplexity").isNull() | (F.col("perplexity") <= F.col("threshold"))).alias("kept"))
 
@@ -118,4 +118,4 @@ def keep(df: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     id_col, lang_col = options.get("id_col", "doc_id"), options.get("lang_col", "lang")
     out = classify(df, trusted, **options).filter(~F.col("kept") & F.col("doc_id").isNotNull())
     out = cut(out.select(F.col("doc_id").alias("sl_id"), F.col("lang").alias("sl_lang")).sort("sl_id"), "rejected")
-    return df.join(out, (df[id_col] == F.col("sl_id")) & (F.coalesce(df[lang_col].cast("string"), F.lit("")) == F.col("sl_lang")), "left_anti")
+    return df.join(common.sided(out), (df[id_col] == F.col("sl_id")) & (F.coalesce(df[lang_col].cast("string"), F.lit("")) == F.col("sl_lang")), "left_anti")
