@@ -59,11 +59,18 @@ def diag_counters(d: DataFrame) -> DataFrame:
     return d.groupBy(at("reason").alias("reason")).agg(F.count(F.lit(1)).alias("frames"), F.count_if(at("accepted") == "1").alias("accepted"), F.avg(ms).alias("inference_ms_mean"), F.max(ms).alias("inference_ms_max"))
 
 
-def frame_digest(records: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Order-free content digest per frame: record count and the sum of record
-    hash prefixes.  It merges partially, so large frames are not gathered."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols])), 1, 12), 16, 10).cast("long")
-    return records.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("digest"))
+def frame_digest(records: DataFrame, keys: Sequence[str], cols: Sequence[str], position: str | None = None) -> DataFrame:
+    """Digest of layout, order and content per frame: record count and four sums of 60-bit
+    words of the SHA-256 of (layout, position, record).
+
+    The layout is the names of the columns in their order; with ``position`` (the place of a
+    record in its frame) equal records in another order give another digest.  The
+    sums merge partially, so large frames are not gathered."""
+    parts = [F.lit(",".join(cols)), *([F.col(position).cast("string")] if position else []), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols]]
+    h = F.sha2(F.concat_ws("|", *parts), 256)
+    word = lambda k: F.conv(F.substring(h, 15 * k + 1, 15), 16, 10).cast("decimal(20,0)")
+    sums = [F.sum(word(k)).cast("decimal(38,0)").cast("string") for k in range(4)]
+    return records.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"), F.concat_ws("-", *sums).alias("digest"))
 
 
 def ordered_subset(filtered: DataFrame, full: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], rows_per_split=None) -> DataFrame:
@@ -109,9 +116,9 @@ def ordered_subset(filtered: DataFrame, full: DataFrame, keys: Sequence[str], or
 
 def conservation(parts: DataFrame, count_col: str, total: DataFrame) -> DataFrame:
     """Sum of the declared counts against the rows of the final table."""
-    a = parts.agg(F.coalesce(F.sum(count_col), F.lit(0)).alias("declared")).withColumn("_one", F.lit(1))
-    b = total.agg(F.count(F.lit(1)).alias("actual")).withColumn("_one", F.lit(1))
-    return a.join(b, "_one").drop("_one").withColumn("conserved", F.col("declared") == F.col("actual"))
+    a = parts.agg(F.coalesce(F.sum(count_col), F.lit(0)).alias("declared"))
+    b = total.agg(F.count(F.lit(1)).alias("actual"))
+    return a.crossJoin(F.broadcast(b)).withColumn("conserved", F.col("declared") == F.col("actual"))
 
 
 def freeze_manifest(spark, path: str) -> DataFrame:
@@ -154,13 +161,42 @@ def run_verdict(runs: DataFrame, same_input: Column, min_frames: int, min_covera
 
 def bag_verdict(missing: DataFrame, digests_a: DataFrame, digests_b: DataFrame, subsets: DataFrame, order: DataFrame, key: str) -> DataFrame:
     """All conditions of a filtered recording in one row."""
-    one = lambda d: d.withColumn("_one", F.lit(1))
     changed = reconcile(digests_a, digests_b, [key], ["records", "digest"])
     parts = [missing.agg(F.count(F.lit(1)).alias("missing_frames")), changed.agg(F.count(F.lit(1)).alias("changed_frames")), subsets.agg(F.count_if(~F.col("is_subset")).alias("not_subset")), order.agg(F.sum("backward").alias("order_failures"))]
-    out = one(parts[0])
+    out = parts[0]
     for p in parts[1:]:
-        out = out.join(one(p), "_one")
-    return out.drop("_one").withColumn("passed", (F.col("missing_frames") == 0) & (F.col("not_subset") == 0) & (F.col("order_failures") == 0))
+        out = out.crossJoin(F.broadcast(p))  # one row each
+    return out.withColumn("passed", (F.col("missing_frames") == 0) & (F.col("not_subset") == 0) & (F.col("order_failures") == 0))
+
+
+def inspection_points(poses: DataFrame, points: DataFrame, order: Sequence[str], frames: int = 12, max_points: int = 50_000, rows_per_split=None) -> DataFrame:
+    """The points of the first ``frames`` frames by time, up to ``max_points`` of each
+    in record order; both limits are what an inspection asks for."""
+    first = poses.orderBy("ts", "frame_id").limit(frames).select("frame_id", "ts")
+    p = points.join(first, "frame_id")
+    return O.row_index(p, ["frame_id"], order, "record", rows_per_split).filter(F.col("record") <= max_points)
+
+
+def probe_findings(probes: DataFrame, edges: DataFrame, records: DataFrame, edge_r: float = 2.0, record_r: float = 2.0, min_road: float = 0.60) -> DataFrame:
+    """Why each probed place was (not) classified.
+
+    probes: probe_id, x, y; edges: id, x, y (raw height steps); records: record_id,
+    x, y, track (tracked edge it was fitted to, or null), eligible, road_support.
+    ``finding`` joins: exact or nearest raw edge; tracked or not; near records that
+    are shown, held back, or missing; road support as the limiting factor."""
+    from scanloom.operators import spatial as S
+    raw = S.nearest_within(probes, edges, ["x", "y"], edge_r, "probe_id", "id").select("q_id", F.col("distance").alias("edge_m"))
+    p = probes.select(F.col("probe_id").alias("q_id"), "x", "y", *[S.cell(c, record_r).alias(k) for c, k in (("x", "ix"), ("y", "iy"))])
+    r = records.select(F.col("x").alias("r_x"), F.col("y").alias("r_y"), "track", "eligible", "road_support", *[S.cell(c, record_r).alias(k) for c, k in (("x", "ix"), ("y", "iy"))])
+    near = S.with_offsets(p, ["ix", "iy"], S.square(1)).join(r, ["ix", "iy"]).filter(F.pow(F.col("r_x") - F.col("x"), 2) + F.pow(F.col("r_y") - F.col("y"), 2) <= record_r * record_r)
+    local = F.col("track").isNotNull()
+    sums = near.groupBy("q_id").agg(F.count(F.lit(1)).alias("near_records"), F.count_if(local).alias("tracked"), F.count_if(local & F.col("eligible")).alias("shown"), F.max(F.when(local, F.col("road_support"))).alias("best_road"))
+    out = probes.select(F.col("probe_id").alias("q_id")).join(raw, "q_id", "left").join(sums, "q_id", "left").fillna(0, ["near_records", "tracked", "shown"])
+    why = F.concat_ws("|", F.when(F.col("edge_m") <= 0.001, "exact raw edge").when(F.col("edge_m").isNotNull(), "raw edge nearby").otherwise("no raw edge"),
+                      F.when(F.col("tracked") > 0, "tracked").otherwise("not tracked"),
+                      F.when(F.col("shown") > 0, "record shown").when(F.col("tracked") > 0, "records held back").otherwise("no local record"),
+                      F.when(F.col("best_road") < min_road, "road support is the limit"))
+    return out.select("q_id", "edge_m", "near_records", "tracked", "shown", why.alias("finding"))
 
 
 def probe(probes: DataFrame, records: DataFrame, r: float, cols: Sequence[str]) -> DataFrame:

@@ -20,10 +20,7 @@ COS = lambda deg: math.cos(math.radians(deg))
 def linear_support(points: DataFrame, r: float = 1.5, min_n: int = 5, min_major: float = 0.12, min_ratio: float = 0.72) -> DataFrame:
     """Tangent of points whose neighbourhood (self included) is elongated.
     ``points``: unique positions (x, y) with an id, such as grid edge centres."""
-    keyed = points.select("id", "x", "y", C.cell("x", r).alias("ix"), C.cell("y", r).alias("iy"))
-    m = S.with_offsets(keyed, ["ix", "iy"], S.square(1)).alias("a").join(keyed.alias("b"), ["ix", "iy"])
-    u, v = F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")
-    m = m.filter(u * u + v * v <= r * r).select(F.col("a.id").alias("id"), u.alias("u"), v.alias("v"))
+    m = S.neighbours(points, r).select("id", (F.col("o_x") - F.col("x")).alias("u"), (F.col("o_y") - F.col("y")).alias("v"))
     g = m.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("u").alias("su"), F.sum("v").alias("sv"), *[F.sum(F.col(a) * F.col(b)).alias(a + b) for a, b in ("uu", "uv", "vv")])
     g = g.filter(F.col("n") >= min_n).select("id", "n", (F.col("uu") - F.col("su") * F.col("su") / F.col("n")).alias("xx"), (F.col("uv") - F.col("su") * F.col("sv") / F.col("n")).alias("xy"), (F.col("vv") - F.col("sv") * F.col("sv") / F.col("n")).alias("yy"))
     hi, lo = C.eig2(F.col("xx"), F.col("xy"), F.col("yy"))
@@ -52,6 +49,8 @@ def fit_lines(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 ANGLE_BINS, RHO_M = 180, 0.20
+#: Voters that a peak without a line gives up, so that the next one can win.
+RETIRED = 8
 
 
 def hough_votes(points: DataFrame) -> DataFrame:
@@ -85,10 +84,11 @@ def refine_peak(points: DataFrame, peak, min_inliers: int = 8):
     return line, keep
 
 
-def extract_lines(points: DataFrame, tile: float = 20.0, max_lines: int = 400, gap: float = 3.0, min_length: float = 2.0, min_inliers: int = 8) -> DataFrame:
+def extract_lines(points: DataFrame, tile: float = 20.0, max_lines: int | None = None, gap: float = 3.0, min_length: float = 2.0, min_inliers: int = 8) -> DataFrame:
     """Lines of every tile at once.  A tile holds unique lattice positions, so
     its size is bounded; inside it the strongest line is taken, its inliers are
-    removed, and so on.  Lines running across tiles are rejoined by
+    removed, and so on, until too few points are left (or ``max_lines``, if
+    given).  Lines running across tiles are rejoined by
     ``mutual_best`` and ``join_fragments``.  Input: id, x, y, tx, ty."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["x", "y", "id"], kind="stable")
@@ -98,7 +98,7 @@ def extract_lines(points: DataFrame, tile: float = 20.0, max_lines: int = 400, g
         bins = (centre[:, None] + np.arange(-3, 4)) % ANGLE_BINS
         rho = np.rint((p[:, :1] * np.cos(bins * math.pi / ANGLE_BINS) + p[:, 1:] * np.sin(bins * math.pi / ANGLE_BINS)) / RHO_M).astype(int)
         code = bins.astype(np.int64) * 10_000_000 + rho + 5_000_000
-        while live.sum() >= min_inliers and n < max_lines:
+        while live.sum() >= min_inliers and (max_lines is None or n < max_lines):
             keys, votes = np.unique(code[live], return_counts=True)
             k = keys[np.argmax(votes)]
             th, r = (k // 10_000_000) * math.pi / ANGLE_BINS, (k % 10_000_000 - 5_000_000) * RHO_M
@@ -123,7 +123,7 @@ def extract_lines(points: DataFrame, tile: float = 20.0, max_lines: int = 400, g
                     break
                 sel = new
             if sel.sum() < min_inliers:
-                drop = np.flatnonzero(first)[:8]
+                drop = np.flatnonzero(first)[:RETIRED]
                 live[drop if len(drop) else np.flatnonzero(live)[:1]] = False
                 continue
             proj = p @ np.array([tx, ty])
@@ -401,6 +401,8 @@ def classify_sections(xs: DataFrame, bridged: DataFrame) -> DataFrame:
         "right_m": F.when(~F.col("road_valid") & b, F.col("bridge_right")).otherwise(F.col("right_inner_m"))})
 
 
+#: The source of bands that were fitted to tracked edges.
+LOCAL_FIT = "local_edge_fit"
 TWO_SIDED = ("two_sided_measured_road_core", "two_sided_continuity_bridge")
 
 
@@ -546,18 +548,24 @@ def boundary_support(checked: DataFrame, keys: Sequence[str] = ("band_id", "side
     frac = lambda c: F.avg(c.cast("double"))
     g = checked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("links"), frac(F.col("edge_z").isNotNull()).alias("edge_support"), frac(F.col("road")).alias("road_support"), frac(F.col("road_observed")).alias("observed_road_support"),
-        frac(F.col("use_centerline")).alias("topology_support"), frac(F.col("inside_z").isNotNull()).alias("inside_support"), frac(F.col("outside_z").isNotNull()).alias("outside_support"), frac(F.coalesce(F.col("inner_match"), F.lit(False))).alias("inner_match"))
+        frac(F.col("use_centerline")).alias("topology_support"), frac(F.col("inside_z").isNotNull()).alias("inside_support"), frac(F.col("outside_z").isNotNull()).alias("outside_support"), frac(F.coalesce(F.col("inner_match"), F.lit(False))).alias("inner_match"),
+        *([frac(F.coalesce(F.col("local_road_edge_match"), F.lit(False))).alias("local_road_edge_match")] if "local_road_edge_match" in checked.columns else []))
     med = medians(checked, keys, ["height_delta"], rows_per_split)
     return g.join(med, keys, "left").join(longest_path(checked, keys, rows_per_split=rows_per_split), keys, "left")
 
 
 def classify_boundaries(b: DataFrame) -> DataFrame:
-    """Curb, step, wall-or-green or unknown, with state, confidence and reasons."""
+    """Curb, step, wall-or-green or unknown, with state, confidence and reasons.
+    Bands fitted to local edges (``source`` ``LOCAL_FIT``) match the road by the
+    larger of ``inner_match`` and ``local_road_edge_match``, where given."""
     c = F.col
+    match = c("inner_match")
+    if {"source", "local_road_edge_match"} <= set(b.columns):
+        match = F.when(c("source") == LOCAL_FIT, F.greatest("inner_match", "local_road_edge_match")).otherwise(match)
     h = F.abs(c("height_delta"))
     run = F.least(F.lit(1.0), c("continuity") / 8.0)
     basic = (c("links") >= 5) & (c("continuity") >= 2.0) & (c("edge_support") >= 0.50) & (c("road_support") >= 0.60) & (c("inside_support") >= 0.45)
-    curb = F.coalesce(basic & (c("topology_support") >= 0.60) & (c("continuity") >= 3.0) & (c("inner_match") >= 0.50) & (h >= 0.035) & (h <= 0.30), F.lit(False))
+    curb = F.coalesce(basic & (c("topology_support") >= 0.60) & (c("continuity") >= 3.0) & (match >= 0.50) & (h >= 0.035) & (h <= 0.30), F.lit(False))
     step = F.coalesce(basic & (h >= 0.25) & (c("outside_support") >= 0.35), F.lit(False))
     wall = basic & (c("outside_support") < 0.35)
     seen = c("observed_road_support") >= 0.60
@@ -572,7 +580,8 @@ def classify_boundaries(b: DataFrame) -> DataFrame:
         "state": k(F.when(seen, "observed").otherwise("inferred"), "observed", F.when(c("edge_support") >= 0.65, "observed").otherwise("inferred"), "inferred", "unknown"),
         "confidence": k(curb_conf, step_conf, wall_conf, weak_conf, 0.0),
         "reasons": C.reasons(few_links=c("links") < 5, short_run=c("continuity") < 2.0, weak_edge=c("edge_support") < 0.50, weak_road=c("road_support") < 0.60, weak_observed_road=c("observed_road_support") < 0.60,
-                             weak_topology=c("topology_support") < 0.60, weak_inside_ground=c("inside_support") < 0.45)})
+                             weak_topology=c("topology_support") < 0.60, weak_inside_ground=c("inside_support") < 0.45,
+                             inferred_continuation=c("_curb") & ~seen, basic_but_undecided=c("_basic") & ~c("_curb") & ~c("_step") & ~c("_wall"))})
     return out.drop("_basic", "_curb", "_step", "_wall")
 
 

@@ -126,6 +126,34 @@ def track_step(timeout: float, radius: float, columns):
     return scan
 
 
+def motion_step(track, window: float = 1.5, min_obs: int = 6, min_duration: float = 0.6, static_max: float = 0.35, moving_min: float = 0.80):
+    """``track`` followed by the motion state of each box; the state keeps the window
+    of every track.  Boxes of one stamp are all counted before any is judged."""
+    def scan(pdf: pd.DataFrame, state):
+        live, seen = state or [None, {}]
+        out, live = track(pdf, live)
+        rows, n = list(zip(out["ts"], out["box_id"], out["x"], out["y"], out["track_id"])), len(out)
+        res, i = [], 0
+        while i < n:
+            j = i
+            while j < n and rows[j][0] == rows[i][0]:
+                ts, box, x, y, k = rows[j]
+                seen.setdefault(k, []).append([float(ts), int(box), float(x), float(y)])
+                j += 1
+            for ts, _, _, _, k in rows[i:j]:
+                w = seen[k] = [o for o in seen[k] if o[0] >= ts - window - 1e-9]
+                a, b = min(w), max(w)
+                d = b[0] - a[0]
+                v = math.hypot(b[2] - a[2], b[3] - a[3]) / d if d > 0 else None
+                res.append((len(w), d, "UNKNOWN" if len(w) < min_obs or d < min_duration else "STATIC" if v <= static_max else "MOVING" if v >= moving_min else "UNKNOWN"))
+            i = j
+        last = float(pdf["ts"].iloc[-1]) if n else None
+        seen = {k: w for k, w in seen.items() if last is None or w[-1][0] >= last - window - 1.0}
+        return out.assign(observations=[r[0] for r in res], duration=[r[1] for r in res], motion=[r[2] for r in res]), [live, seen]
+
+    return scan
+
+
 def track_boxes(boxes: DataFrame, timeout: float = 1.0, radius: float = 2.0, rows_per_split=None) -> DataFrame:
     """Nearest live track of the same class within ``radius``, else a new one."""
     b = boxes.select("frame_id", "box_id", "ts", "x", "y", "class")

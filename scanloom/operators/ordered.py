@@ -1,8 +1,8 @@
 """Order-dependent operators that never put a whole group into one task.
 
 A window partitioned by frame, topic or run collapses when one of them holds a
-large part of the rows.  Here the order column is cut at its quantiles into
-splits of about ``rows_per_split`` rows, windows run per (group, split), and a
+large part of the rows.  Here the order columns are cut into ranges, called
+splits, of about ``rows_per_split`` rows, windows run per (group, split), and a
 small carry table (one row per group and split) links the splits.  Inputs small
 enough for one split take the plain window.
 """
@@ -14,32 +14,25 @@ import math
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from scanloom.session import cut
 
 ROWS_PER_SPLIT = 2_000_000
-MAX_SPLITS = 20_000
 
 
-def add_split(df: DataFrame, col: str, rows_per_split: int | None = None,
+def add_split(df: DataFrame, order: Sequence[str], rows_per_split: int | None = None,
               rows: int | None = None) -> tuple[DataFrame, int]:
-    """Add ``_split``: the quantile interval of ``col`` a row falls into.
+    """Add ``_split``: the range of the ``order`` columns a row falls into.
 
-    Equal values share a split and splits are monotone in ``col``.  The cut
-    points are literals, so a recomputed task assigns the same split."""
+    Rows equal in all order columns share a split and splits rise with the order,
+    so a hot value of the first column is cut by the others.  The rows are written
+    once with their split; later steps read that table and not the source again."""
     limit = rows_per_split or ROWS_PER_SPLIT
-    n = min(MAX_SPLITS, math.ceil((df.count() if rows is None else rows) / limit))
-    if n > 1:
-        probe = df.select(F.col(col).cast("double").alias("_v"))
-        cuts = sorted(set(probe.approxQuantile("_v", [i / n for i in range(1, n)], 1 / (4 * n))))
-        if cuts:
-            tool = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_v",
-                              outputCol="_split", handleInvalid="keep")
-            out = tool.transform(df.withColumn("_v", F.col(col).cast("double"))).drop("_v")
-            return out.withColumn("_split", F.col("_split").cast("int")), len(cuts) + 1
-    return df.withColumn("_split", F.lit(0)), 1
+    n = math.ceil((df.count() if rows is None else rows) / limit)
+    if n <= 1:
+        return df.withColumn("_split", F.lit(0)), 1
+    return cut(df.repartitionByRange(n, *order).withColumn("_split", F.spark_partition_id()), "split"), n
 
 
 def _spec(keys, order, n):
@@ -58,7 +51,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], exprs: dic
             rows_per_split: int | None = None) -> DataFrame:
     """Running aggregates: ``{name: ("sum" | "max" | "min", column)}``."""
     fns = {"sum": F.sum, "max": F.max, "min": F.min}
-    sp, n = add_split(df, order[0], rows_per_split)
+    sp, n = add_split(df, order, rows_per_split)
     w = _spec(keys, order, n).rowsBetween(W.unboundedPreceding, W.currentRow)
     out = sp.select("*", *[fns[k](c).over(w).alias(name) for name, (k, c) in exprs.items()])
     if n == 1:
@@ -83,7 +76,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, Column],
               lead: bool = False, rows_per_split: int | None = None) -> DataFrame:
     """Previous (or next) row's values, across split borders too."""
-    sp, n = add_split(df, order[0], rows_per_split)
+    sp, n = add_split(df, order, rows_per_split)
     w = _spec(keys, order, n)
     step = F.lead if lead else F.lag
     boxed = F.struct(*[c.alias(k) for k, c in cols.items()])
@@ -108,10 +101,8 @@ def sessionize(df: DataFrame, keys: Sequence[str], order: Sequence[str], compare
                rows_per_split: int | None = None) -> DataFrame:
     """Number the islands of each group; a new one starts where ``is_break`` of
     the previous row's ``compare`` values holds (first row: island 1)."""
-    first = next(iter(compare))
     nb = neighbour(df, keys, order, {f"_p_{k}": c for k, c in compare.items()} | {"_has": F.lit(True)},
                    rows_per_split=rows_per_split)
-    del first
     brk = F.when(F.col("_has").isNull(), True).otherwise(F.coalesce(is_break({k: F.col(f"_p_{k}") for k in compare}), F.lit(False)))
     out = running(nb.withColumn("_brk", brk.cast("long")), keys, order, {name: ("sum", F.col("_brk"))}, rows_per_split)
     return out.drop("_brk", "_has", *[f"_p_{k}" for k in compare])
@@ -138,7 +129,7 @@ def asof(left: DataFrame, right: DataFrame, t: str, keys: Sequence[str] = (), pa
     r = right.select(*keys, F.col(t).alias("_t"), F.struct(*cols).alias("_r"))
     both = (left.select(*keys, F.col(t).alias("_t"), F.struct(*lcols).alias("_l"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
             .unionByName(r.withColumn("_l", F.lit(None).cast(T.StructType([left.schema[c] for c in lcols])))))
-    sp, n = add_split(both, "_t", rows_per_split)
+    sp, n = add_split(both, ["_t"], rows_per_split)
     if n > 1:
         per = sp.groupBy(*keys, "_split").agg(
             F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t"))).alias("_last"),
@@ -166,7 +157,7 @@ def order_statistic(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[
     that holds a wanted rank is searched."""
     rows = df.count()
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    sp, n = add_split(counts, value, rows_per_split, rows)
+    sp, n = add_split(counts, [value], rows_per_split, rows)
     names = list(ranks)
     if n == 1:
         part = list(keys) or ["_split"]
@@ -211,14 +202,14 @@ def carried_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     unknown (None) state to get its closing state; splits whose real incoming
     state differs are run again until none does, then rows are emitted once.
     Group keys must be part of ``schema``."""
-    sp, n = add_split(df, order[0], rows_per_split)
+    sp, n = add_split(df, order, rows_per_split)
     order = list(order)
     if n == 1 and keys:
         def whole(pdf):
             return fn(pdf.sort_values(order, kind="stable").drop(columns="_split"), None)[0]
         return sp.groupBy(*keys).applyInPandas(whole, schema)
     by = [*keys, "_split"]
-    sp = cut(sp)
+    sp = cut(sp) if n == 1 else sp
     key_ddl = "".join(f"`{k}` {sp.schema[k].dataType.simpleString()}, " for k in by)
 
     def closing(pdf):

@@ -108,11 +108,20 @@ def yaw_time(df: DataFrame, rows_per_split: int | None = None) -> DataFrame:
 
 
 def normalise(df: DataFrame, sensor: str, n_scans: int = 128, every: int = 1, blind_m: float = 0.8,
-              rows_per_split: int | None = None) -> DataFrame:
+              rows_per_split: int | None = None, timed: bool = True) -> DataFrame:
     """One table shape for every sensor: vendor ``time`` becomes ``offset_ms``.
 
-    Time units: ouster and robotdog ns, velodyne us (or none: from yaw),
-    pandar128 / xt32 / robosense s stamps, avia ms, l515 none."""
+    Time units: ouster and ns_offset ns, velodyne us (or none: from yaw),
+    pandar128 / xt32 / robosense s stamps, avia ms, l515 none.  xt32_rings is the
+    form of xt32 that features are taken from: all points of the first ``n_scans``
+    rings with at least two points, times from the stamp or (not ``timed``) from the
+    yaw, with the differences along the ring."""
+    if sensor == "xt32_rings":
+        from scanloom.operators.features import ring_differences
+        out = df.filter(F.col("ring") < n_scans)
+        out = out.withColumn("offset_ms", F.col("time") / 1000.0) if timed else yaw_time(out, rows_per_split)
+        two = out.groupBy("frame_id", "ring").count().filter("count >= 2").select("frame_id", "ring")
+        return ring_differences(out.join(two, ["frame_id", "ring"], "left_semi"), ORDER, rows_per_split)
     if sensor == "avia":
         out = repair_livox_times(df.withColumn("time_ms", F.col("time")), n_scans, rows_per_split).drop("time_ms")
         out = O.row_index(out, ["frame_id"], ORDER, "_valid", rows_per_split)
@@ -134,7 +143,7 @@ def normalise(df: DataFrame, sensor: str, n_scans: int = 128, every: int = 1, bl
         if sensor == "pandar128":
             out = out.withColumn("intensity", F.col("intensity") / 255.0)
         return blind(decimate(out, every), blind_m, True)
-    if sensor == "robotdog":
+    if sensor == "ns_offset":
         out = finite(blind(decimate(df, every), blind_m), ("x", "y", "z", "time"))
         return out.filter((F.col("time") >= 0) & (F.col("ring") < n_scans)).withColumn("offset_ms", F.col("time") / 1e6)
     raise ValueError(f"unknown sensor: {sensor}")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scanloom.functions.columns import cell
-from scanloom.session import cut
+from scanloom.session import cut, drop
 
 NEAREST_CAP = 4096
 
@@ -29,6 +29,24 @@ def square(k: int, dims: int = 2) -> list[tuple[int, ...]]:
     return out
 
 
+def neighbours(points: DataFrame, r: float, dims: Sequence[str] = ("x", "y"), keep: Sequence[str] = ()) -> DataFrame:
+    """All pairs (id, other_id) of points at most ``r`` apart, each point with
+    itself too: id, other_id, distance, the coordinates of both (``o_`` for the
+    other) and the ``keep`` columns of the other.
+
+    The result has as many rows as there are pairs, which is what is asked for;
+    cells of size r only meet their neighbours.  Summaries over a radius should
+    be taken from cells where points can lie on one spot."""
+    d = list(dims)
+    ks = [f"_k{i}" for i in range(len(d))]
+    keyed = points.select("id", *d, *keep, *[cell(c, r).alias(k) for c, k in zip(d, ks)])
+    other = keyed.select(*ks, F.col("id").alias("other_id"), *[F.col(c).alias(f"o_{c}") for c in (*d, *keep)])
+    m = with_offsets(keyed.select("id", *d, *ks), ks, square(1, len(d))).join(other, ks)
+    d2 = sum((F.pow(F.col(f"o_{c}") - F.col(c), 2) for c in d), F.lit(0.0))
+    m = m.withColumn("_d2", d2).filter(F.col("_d2") <= r * r)
+    return m.select("id", "other_id", F.sqrt("_d2").alias("distance"), *d, *[f"o_{c}" for c in (*d, *keep)])
+
+
 def nearest_cell(queries: DataFrame, cells: DataFrame, grid: float, k: int, keep: Sequence[str], id_col: str = "q_id") -> DataFrame:
     """For each query (``id_col``, x, y) the occupied cell with the closest centre
     among the (2k+1)^2 cells around it; ties go to the lower (ix, iy).
@@ -138,7 +156,6 @@ def grid_components(nodes: DataFrame, offsets: Sequence[tuple[int, int]], tile:
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     ddl = ", ".join(f"{c} {types[c]}" for c in cols) + ", l_ix bigint, l_iy bigint"
     done = cut(base.groupBy("_tx", "_ty").applyInPandas(local, ddl))
-    rim = done
     inside = lambda c: F.pmod(F.col(c), F.lit(tile))
     reach = max(max(abs(a), abs(b)) for a, b in offsets)
     near = F.lit(False)
@@ -159,31 +176,30 @@ def grid_components(nodes: DataFrame, offsets: Sequence[tuple[int, int]], tile:
             .select(*cols, F.coalesce("root.ix", "l_ix").alias("root_ix"), F.coalesce("root.iy", "l_iy").alias("root_iy")))
 
 
-def label_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def label_components(edges: DataFrame) -> DataFrame:
     """Smallest node of every connected component, for the nodes of ``edges(a, b)``.
 
     Each round hooks every node to its smallest neighbour, follows the pointers
     to their roots and replaces the edges by the distinct edges between roots,
-    so the graph shrinks by at least half per round.  All rounds checkpoint."""
+    so the graph shrinks until no edge is left.  Every round is written to the
+    shared folder and the tables of the round before are deleted."""
     live = cut(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct())
     labels = cut(live.select(F.col("a").alias("node")).union(live.select("b")).distinct().withColumn("root", F.col("node")))
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            return labels
+    while not live.isEmpty():
         both = live.union(live.select("b", "a"))
-        ptr = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to"))
-        ptr = cut(ptr)
+        ptr = held = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to")))
         while True:
             nxt = ptr.join(ptr.select(F.col("node").alias("to"), F.col("to").alias("far")), "to", "left")
-            nxt = nxt.select("node", F.coalesce("far", "to").alias("new"), F.col("to").alias("old"))
-            nxt = cut(nxt)
-            moved = not nxt.filter(F.col("new") != F.col("old")).isEmpty()
-            ptr = nxt.select("node", F.col("new").alias("to"))
-            if not moved:
+            nxt = cut(nxt.select("node", F.coalesce("far", "to").alias("new"), F.col("to").alias("old")))
+            drop(held)
+            held, ptr = nxt, nxt.select("node", F.col("new").alias("to"))
+            if nxt.filter(F.col("new") != F.col("old")).isEmpty():
                 break
         up = ptr.select(F.col("node").alias("root"), F.col("to").alias("_r"))
-        labels = cut(labels.join(up, "root", "left").select("node", F.coalesce("_r", "root").alias("root")))
+        named = cut(labels.join(up, "root", "left").select("node", F.coalesce("_r", "root").alias("root")))
         ea = live.join(ptr.select(F.col("node").alias("a"), F.col("to").alias("ra")), "a")
-        live = cut(ea.join(ptr.select(F.col("node").alias("b"), F.col("to").alias("rb")), "b")
+        rest = cut(ea.join(ptr.select(F.col("node").alias("b"), F.col("to").alias("rb")), "b")
                    .filter(F.col("ra") != F.col("rb")).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
-    raise RuntimeError("components did not settle")
+        drop(labels, live, held)
+        labels, live = named, rest
+    return labels

@@ -94,6 +94,10 @@ def pose_pairs(raw: DataFrame, opt: DataFrame) -> tuple[DataFrame, DataFrame]:
     why = (F.when(F.col("opt_ts").isNull(), "missing optimised").when(F.col("ts").isNull(), "missing raw")
            .when(F.abs(F.col("ts") - F.col("opt_ts")) > 1e-6, "stamp differs"))
     bad = both.withColumn("violation", why).filter(F.col("violation").isNotNull()).select("id", "violation")
+    # in time order stamps rise strictly unless one repeats: all but the first id of a stamp are out of order
+    at = raw.groupBy("ts").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    again = raw.select("id", "ts").join(at, "ts").filter(F.col("id") > F.col("_first")).select("id", F.lit("stamp not increasing").alias("violation"))
+    bad = bad.unionByName(again)
     qi, ti = C.inverse(C.q_normalise(C.quat()), C.vec())
     pairs = both.filter(F.col("ts").isNotNull() & F.col("opt_ts").isNotNull()).select(
         "id", "ts", *POSE, *[f"o_{c}" for c in POSE], *[v.alias(f"i_{c}") for c, v in zip(POSE, (*ti, *qi))])
@@ -137,7 +141,7 @@ def error_metrics(pairs: DataFrame, keys: Sequence[str] = (), err: str = "error"
     p95 = O.order_statistic(pairs.select(*keys, err), keys, err, {"p95_m": O.nearest_rank(0.95)}, rows_per_split).drop("n")
     if keys:
         return base.join(p95, list(keys))
-    return base.withColumn("_one", F.lit(1)).join(p95.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return base.crossJoin(F.broadcast(p95))  # one row each
 
 
 def component_metrics(pairs: DataFrame, rows_per_split: int | None = None) -> DataFrame:
@@ -188,16 +192,17 @@ def trajectory_delta(stamps: DataFrame, a: DataFrame, b: DataFrame, t: str, max_
     cols = ("x", "y", "z")
     rel = []
     for name, run in (("a", a), ("b", b)):
-        first = run.agg(F.min_by(F.struct(*cols), t).alias("f")).select(*[F.col(f"f.{c}").alias(f"o_{c}") for c in cols]).withColumn("_one", F.lit(1))
-        m = position_at(stamps.select(t), run, t, max_gap, cols, rows_per_split).filter(F.col("tier").isNotNull()).withColumn("_one", F.lit(1))
-        rel.append(m.join(first, "_one").select(t, *[(F.col(f"at_{c}") - F.col(f"o_{c}")).alias(f"{name}_{c}") for c in cols]))
+        first = run.agg(F.min_by(F.struct(*cols), t).alias("f")).select(*[F.col(f"f.{c}").alias(f"o_{c}") for c in cols])
+        m = position_at(stamps.select(t), run, t, max_gap, cols, rows_per_split).filter(F.col("tier").isNotNull())
+        rel.append(m.crossJoin(F.broadcast(first)).select(t, *[(F.col(f"at_{c}") - F.col(f"o_{c}")).alias(f"{name}_{c}") for c in cols]))
     d = rel[0].join(rel[1], t).withColumn("error", C.hypot(*[F.col(f"a_{c}") - F.col(f"b_{c}") for c in cols]))
     stats = error_metrics(d, rows_per_split=rows_per_split)
     rest = d.agg(F.max("error").alias("max_m"), F.max_by("error", t).alias("last_m"))
-    one = lambda x: x.withColumn("_one", F.lit(1))
     lens = [path_length(r, [], [t], cols, rows_per_split).withColumnRenamed("path_length_m", n) for r, n in ((a, "len_a"), (b, "len_b"))]
-    out = one(stats.select("count", F.col("mae_m").alias("mean_m"), "p95_m")).join(one(rest), "_one").join(one(lens[0]), "_one").join(one(lens[1]), "_one")
-    return out.withColumn("length_ratio", F.when(F.col("len_a") > 1e-9, F.col("len_b") / F.col("len_a"))).drop("_one")
+    out = stats.select("count", F.col("mae_m").alias("mean_m"), "p95_m")
+    for part in (rest, *lens):
+        out = out.crossJoin(F.broadcast(part))  # one row each
+    return out.withColumn("length_ratio", F.when(F.col("len_a") > 1e-9, F.col("len_b") / F.col("len_a")))
 
 
 def run_summary(messages: DataFrame, arrival: Sequence[str], rows_per_split=None) -> DataFrame:
@@ -217,12 +222,13 @@ def bundle(records: DataFrame, images: DataFrame, t: str, inclusive: bool, rows_
     return m.select(*records.columns, F.col("next_image_id").alias("bundle_id"), (F.col(t) - F.col(f"prev_{t}")).alias("rebased"))
 
 
-def revisit_candidates(kf: DataFrame, min_gap: int = 20, min_dt: float = 30.0, radius: float = 10.0, cap: int = S.NEAREST_CAP) -> DataFrame:
-    """Nearest earlier keyframe, far enough in index and time.  kf: id, ts, x, y, z."""
+def revisit_candidates(kf: DataFrame, min_gap: int = 20, min_dt: float = 30.0, radius: float = 10.0, cap: int = S.NEAREST_CAP, points: DataFrame | None = None) -> DataFrame:
+    """Nearest earlier keyframe, far enough in index and time, among ``points`` (else
+    among the keyframes themselves).  kf: id, ts, x, y, z."""
     ok = (F.col("q.id") - F.col("p.id") >= min_gap) & (F.abs(F.col("q.ts") - F.col("p.ts")) >= min_dt)
     # A cell surely holds an allowed point when its earliest keyframe is allowed.
     surely = lambda _: (F.col("id") - F.col("_min_id") >= min_gap) & (F.col("ts") - F.col("_ts_of_min") >= min_dt)
-    return S.nearest_within(kf, kf, ["x", "y", "z"], radius, "id", "id", {"_min_id": F.min("id"), "_ts_of_min": F.min_by("ts", "id")},
+    return S.nearest_within(kf, kf if points is None else points, ["x", "y", "z"], radius, "id", "id", {"_min_id": F.min("id"), "_ts_of_min": F.min_by("ts", "id")},
                             surely, ok, ["ts"], ["ts"], cap)
 
 

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
 from scanloom.functions import columns as C
 from scanloom.operators import audit as A
+from scanloom.operators import ordered as O
 from scanloom.operators import trajectory as J
 from scanloom.plans import boundaries as PB
 from scanloom.plans.points import r6
 from scanloom.plans.registry import query
-from scanloom.plans.trajectories import ARR, arrived
+from scanloom.plans.trajectories import ARR, HOUR_US, arrived, br
+from scanloom.session import cut as S_cut
 from scanloom.session import scratch
 from scanloom.sources import files as S
 
@@ -22,16 +25,21 @@ from scanloom.sources import files as S
 def frame_files(t):
     """Write every frame as a binary point file, one file per frame."""
     out = scratch(t.spark, "frames")
+    fs, root = pafs.FileSystem.from_uri(out)
+    fs.create_dir(root)
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        os.makedirs(out, exist_ok=True)
+        fs, root = pafs.FileSystem.from_uri(out)
         f = int(pdf["frame_id"].iloc[0])
         rec = np.zeros(len(pdf), np.dtype([("x", "<f4"), ("y", "<f4"), ("z", "<f4"), ("rgb", "<u4")]))
         for c in rec.dtype.names:
             rec[c] = pdf[c].to_numpy()
         head = f"# .PCD v0.7\nVERSION 0.7\nFIELDS x y z rgb\nSIZE 4 4 4 4\nTYPE F F F U\nCOUNT 1 1 1 1\nWIDTH {len(rec)}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {len(rec)}\nDATA binary\n"
-        with open(f"{out}/frame_{f:06d}.pcd", "wb") as fh:
+        # under a name of its own first, so a repeated task never leaves half a frame
+        part = f"{root}/_{f:06d}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as fh:
             fh.write(head.encode() + rec.tobytes())
+        fs.move(part, f"{root}/frame_{f:06d}.pcd")
         return pd.DataFrame({"frame_id": [f]})
 
     t.points.select("frame_id", "x", "y", "z", "rgb").groupBy("frame_id").applyInPandas(write, "frame_id bigint").count()
@@ -55,8 +63,8 @@ def _(t):
 @query("s03_contract_csv", "SELECT c_custkey AS timestamp_sec, c_acctbal AS x FROM customer")
 def _(t):
     out = scratch(t.spark, "csv")
-    t.customer.select(F.col("c_custkey").alias("timestamp_sec"), F.col("c_acctbal").alias("x")).write.option("header", True).csv(out)
-    return S.read_contract_csv(t.spark, out, "timestamp_sec bigint, x double", ["x"])
+    t.customer.select(F.col("c_custkey").alias("timestamp_sec"), F.col("c_acctbal").alias("x")).sort("timestamp_sec").write.option("header", True).csv(out)
+    return S.read_contract_csv(t.spark, out, "timestamp_sec bigint, x double", ["x"], "timestamp_sec")
 
 
 @query("s04_frame_manifest", "SELECT frame_id, ts AS timestamp, 'frames/frame_' || lpad(CAST(frame_id AS VARCHAR), 6, '0') || '.pcd' AS pcd_path FROM poses")
@@ -79,11 +87,12 @@ def _(t):
     return S.parse_diagnostics(t.diag).select("event_id", "seq", "stamp_ns", F.try_element_at("kv", F.lit("reason")).alias("reason"))
 
 
-@query("s07_log_matches", "SELECT line AS value FROM diag WHERE line LIKE '%reason=error%'")
+@query("s07_log_matches", "SELECT n % 4 AS file, row_number() OVER (PARTITION BY n % 4 ORDER BY event_id) AS line_no, line AS value FROM (SELECT *, event_id // 64 AS n FROM diag) QUALIFY line LIKE '%reason=error%'")
 def _(t):
     out = scratch(t.spark, "log")
-    t.diag.select("line").write.text(out)
-    return S.log_matches(t.spark, out, "reason=error").select("value")
+    d = t.diag.select("line", "event_id", (F.floor(F.col("event_id") / 64) % 4).alias("file"))
+    d.repartition("file").sortWithinPartitions("file", "event_id").select("line", "file").write.partitionBy("file").text(out)
+    return S.log_matches(t.spark, out, "reason=error").select(F.regexp_extract("file", r"file=(\d+)", 1).cast("long").alias("file"), "line_no", "value")
 
 
 @query("s08_s14_point_layer_sink", "SELECT h AS layer, count(*) AS n FROM (SELECT CASE WHEN z < 0.25 THEN 'low' ELSE 'high' END h FROM points) GROUP BY 1")
@@ -146,29 +155,39 @@ def _(t):
     return A.diag_counters(S.parse_diagnostics(t.diag)).withColumn("inference_ms_mean", r6("inference_ms_mean"))
 
 
-@query("a43_frame_digest", "SELECT frame_id, count(*) AS records, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', seq, ring, rgb)),1,12) AS BIGINT)) AS VARCHAR) AS digest FROM points GROUP BY 1")
+@query("a43_frame_digest", "SELECT frame_id, count(*) AS records, " + ", ".join(f"CAST(sum(CAST('0x' || substr(h, {15 * k + 1}, 15) AS BIGINT)) AS VARCHAR) AS w{k}" for k in range(4)) + " FROM (SELECT frame_id, sha256(concat_ws('|', 'ring,rgb,x', seq * 4 + ring, ring, rgb, CAST(CAST(x * 256 AS BIGINT) AS VARCHAR))) AS h FROM points) GROUP BY 1")
 def _(t):
-    return A.frame_digest(t.points, ["frame_id"], ["seq", "ring", "rgb"])
+    p = t.points.select("frame_id", "ring", "rgb", (F.col("x") * 256).cast("long").alias("x"), (F.col("seq") * 4 + F.col("ring")).alias("at"))
+    d = A.frame_digest(p, ["frame_id"], ["ring", "rgb", "x"], "at").withColumn("_w", F.split("digest", "-"))
+    return d.select("frame_id", "records", *[F.col("_w")[k].alias(f"w{k}") for k in range(4)])
 
 
 def kept(t):
     """Filtered records: most in order, some frames reversed or altered."""
-    p = t.points.withColumn("pos", F.col("seq") * 1000 + F.col("ring"))
+    p = O.row_index(t.points, ["frame_id"], ["seq", "x", "y", "z", "ring", "rgb"], "pos")
     f = p.filter("rgb % 3 <> 0").withColumn("pos", F.when(F.col("frame_id") % 4 == 1, -F.col("pos")).otherwise(F.col("pos")))
     return f.withColumn("rgb", F.when((F.col("frame_id") % 10 == 7) & (F.col("ring") == 2), F.col("rgb") + 1).otherwise(F.col("rgb"))), p
 
 
-@query("a42_ordered_subset")
+#: The same in SQL: the full list of records of a frame, and how far its filtered list is found in it in order.
+KEPT = """pf AS (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY seq,x,y,z,ring,rgb) pos FROM points), kp AS (SELECT *, CASE WHEN frame_id % 4 = 1 THEN -pos ELSE pos END fpos, CASE WHEN frame_id % 10 = 7 AND ring = 2 THEN rgb + 1 ELSE rgb END frgb FROM pf WHERE rgb % 3 <> 0),
+ fl AS MATERIALIZED (SELECT frame_id, list((rgb, ring, x) ORDER BY pos) AS full_ FROM pf GROUP BY 1), wl AS MATERIALIZED (SELECT frame_id, list((frgb, ring, x) ORDER BY fpos) AS want FROM kp GROUP BY 1),
+ sb AS (SELECT frame_id, 0 AS k, 0 AS pos_, want, full_ FROM wl JOIN fl USING (frame_id) UNION ALL SELECT frame_id, k + 1, CAST(least(100000000, pos_ + coalesce(nullif(list_position(full_[pos_ + 1:], want[k + 1]), 0), 100000000)) AS INT), want, full_ FROM sb WHERE k < len(want)),
+ su AS MATERIALIZED (SELECT frame_id, k AS records, pos_ < 100000000 AS is_subset FROM sb WHERE k = len(want))"""
+
+
+@query("a42_ordered_subset", f"WITH {KEPT} SELECT frame_id, records, is_subset FROM su")
 def _(t):
     f, p = kept(t)
     return A.ordered_subset(f, p, ["frame_id"], "pos", ["rgb", "ring", "x"])
 
 
-@query("q01_schema_contract")
+@query("q01_schema_contract", """SELECT o_orderstatus, count(*) AS rows, 'missing o_comment; o_custkey: bigint is not int; unexpected o_totalprice; unexpected o_orderdate; unexpected o_orderpriority' AS violations, '' AS kept FROM orders GROUP BY 1""")
 def _(t):
-    bad = A.contract(t.orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
-    msg = F.lit("; ".join(bad))
-    return t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).withColumn("violations", msg)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    bad = A.contract(o, "o_orderkey bigint, o_custkey int, o_orderstatus string, o_comment string")
+    good = A.contract(o.select("o_orderkey", "o_orderstatus"), "o_orderkey bigint, o_orderstatus string")
+    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).withColumns({"violations": F.lit("; ".join(bad)), "kept": F.lit("; ".join(good))})
 
 
 @query("q03_conservation", "SELECT count(*) AS declared, count(*) AS actual, true AS conserved FROM points")
@@ -176,12 +195,33 @@ def _(t):
     return A.conservation(t.points.groupBy("frame_id").agg(F.count(F.lit(1)).alias("n")), "n", t.points)
 
 
-@query("q05_q06_freeze_verify")
-def _(t):
+def frozen(t, changed=False):
+    """One text file a nation; ``changed`` leaves one out, alters one and adds one."""
+    n = F.col("c_nationkey")
+    d = t.customer.select(n.alias("n"), "c_custkey", F.concat_ws(" ", "c_custkey", "c_mktsegment").alias("value"))
+    if changed:
+        d = d.filter("n <> 3").withColumn("value", F.when(F.col("n") == 5, F.concat("value", F.lit("!"))).otherwise(F.col("value"))).withColumn("n", F.when(F.col("n") == 7, 77).otherwise(F.col("n")))
     out = scratch(t.spark, "freeze")
-    t.poses.select(F.concat_ws(" ", "frame_id", "ts").alias("value")).write.text(out)
-    m = A.freeze_manifest(t.spark, out)
-    return A.tree_digest(m).select("files").withColumn("changes", F.lit(A.verify_freeze(m, A.freeze_manifest(t.spark, out)).count()))
+    d.repartition("n").sortWithinPartitions("n", "c_custkey").select("value", "n").write.partitionBy("n").text(out)
+    m = A.freeze_manifest(t.spark, out).filter(F.col("path").rlike("part-"))
+    return m.withColumn("path", F.regexp_extract("path", r"(n=\d+)/", 1))
+
+
+@query("q05_freeze_manifest", "SELECT 'n=' || c_nationkey AS path, CAST(sum(strlen(c_custkey || ' ' || c_mktsegment) + 1) AS BIGINT) AS bytes, sha256(string_agg(c_custkey || ' ' || c_mktsegment || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY c_nationkey")
+def _(t):
+    return frozen(t).select("path", "bytes", "sha256")
+
+
+@query("q06_freeze_verify", "SELECT * FROM (VALUES ('n=3', 'missing', 3), ('n=5', 'changed', 5), ('n=7', 'missing', 7), ('n=77', 'added', 7)) v(path, state, k) WHERE k IN (SELECT c_nationkey FROM customer)")
+def _(t):
+    v = A.verify_freeze(frozen(t), frozen(t, True))
+    return v.withColumn("k", F.when(F.col("path") == "n=77", 7).otherwise(F.regexp_extract("path", r"(\d+)", 1).cast("int")))
+
+
+@query("q05_q06_freeze_verify", "SELECT count(DISTINCT c_nationkey) AS files, CAST(0 AS BIGINT) AS changes FROM customer")
+def _(t):
+    m = S_cut(frozen(t))
+    return A.tree_digest(m).select("files").withColumn("changes", F.lit(A.verify_freeze(m, frozen(t)).count()))
 
 
 @query("q07_semantic_invariants", """SELECT id, 'constraint confidence above cap' AS violation FROM (SELECT c_custkey id, (c_custkey % 100)/100.0 conf FROM customer) WHERE conf > 0.49 AND id % 3 = 0
@@ -193,6 +233,10 @@ def _(t):
     return A.invariant_violations(f).select("id", "violation")
 
 
+#: Messages in arrival order with the stamp before them.
+ARRIVED = ARR.removeprefix("WITH ").replace("m AS (", "am AS (").replace("FROM m)", "FROM am)")
+
+
 @query("q08_run_verdict", ARR + " SELECT (SELECT count(*) FROM l WHERE topic IN ('view','click') AND ts_ns <= pt) = 0 AS both_healthy, false AS same_input")
 def _(t):
     m = J.monotonicity(arrived(t).filter("topic IN ('view', 'click')"), ["topic"], ["arrival", "event_id"], "ts_ns")
@@ -202,7 +246,23 @@ def _(t):
     return A.run_verdict(runs, F.lit(same), 1, 0.95).select("both_healthy", "same_input")
 
 
-@query("q09_bag_verdict")
+@query("q08_compared_runs", f"WITH {ARRIVED}, " + br().removeprefix("WITH ") + f""", r AS (SELECT avg(CASE WHEN (t_us-pt <= {HOUR_US // 12} OR nt-t_us <= {HOUR_US // 12} OR (t_us-pt <= {HOUR_US // 3} AND nt-t_us <= {HOUR_US // 3})) THEN 1.0 ELSE 0 END) cov FROM m),
+ o AS (SELECT topic, count(*) FILTER (ts_ns <= pt) bad FROM l WHERE topic IN ('view', 'click') GROUP BY 1),
+ g AS (SELECT sqrt(power(x-lag(x) OVER w,2)+power(y-lag(y) OVER w,2)+power(z-lag(z) OVER w,2)) st, topic FROM traj WHERE topic IN ('view','click') WINDOW w AS (PARTITION BY topic ORDER BY t_us)),
+ n AS (SELECT abs(sum(st) FILTER (topic='click') / sum(st) FILTER (topic='view') - 1) d FROM g)
+SELECT (SELECT count(*) FILTER (bad > 0) FROM o) = 0 AND (SELECT cov FROM r) >= 0.5 AS both_healthy, false AS same_input, round((SELECT d FROM n),6) AS path_difference, (SELECT d FROM n) <= 0.05 AS paths_ok, round((SELECT cov FROM r),6) AS coverage""")
+def _(t):
+    order = J.monotonicity(arrived(t).filter("topic IN ('view', 'click')"), ["topic"], ["arrival", "event_id"], "ts_ns")
+    cover = J.usable(t.traj_a, t.traj_b, "t_us", HOUR_US // 12, HOUR_US // 3).agg(F.avg(F.col("usable").cast("double")).alias("coverage"))
+    delta = J.trajectory_delta(t.traj.filter("topic = 'purchase'"), t.traj_a, t.traj_b, "t_us", HOUR_US).select(F.abs(F.col("length_ratio") - 1).alias("path_difference"))
+    runs = order.select(F.col("n").alias("frames"), F.col("n").alias("poses"), F.col("not_increasing").alias("order_failures")).crossJoin(F.broadcast(cover))
+    v, c = (t.messages.filter(F.col("topic") == k).select("ts_ns") for k in ("view", "click"))
+    same = v.exceptAll(c).isEmpty() and c.exceptAll(v).isEmpty()
+    out = A.run_verdict(runs, F.lit(same), 1, 0.5).drop("paths_ok", "accepted").crossJoin(F.broadcast(delta)).crossJoin(F.broadcast(cover))
+    return out.select("both_healthy", "same_input", r6("path_difference").alias("path_difference"), (F.col("path_difference") <= 0.05).alias("paths_ok"), r6("coverage").alias("coverage"))
+
+
+@query("q09_bag_verdict", f"WITH {KEPT}, {ARRIVED}, dg AS (SELECT frame_id, md5(string_agg(seq || '|' || ring || '|' || rgb, ',' ORDER BY seq, ring, rgb)) d, count(*) n FROM pf GROUP BY 1), dk AS (SELECT frame_id, md5(string_agg(seq || '|' || ring || '|' || frgb, ',' ORDER BY seq, ring, frgb)) d, count(*) n FROM kp GROUP BY 1), x AS (SELECT (SELECT count(DISTINCT frame_id) FROM points WHERE frame_id NOT IN (SELECT frame_id FROM kp)) missing_frames, (SELECT count(*) FROM dg FULL JOIN dk USING (frame_id) WHERE dg.d IS DISTINCT FROM dk.d) changed_frames, (SELECT count(*) FILTER (NOT is_subset) FROM su) not_subset, (SELECT CAST(count(*) FILTER (ts_ns < pt) AS BIGINT) FROM l) order_failures) SELECT *, missing_frames = 0 AND not_subset = 0 AND order_failures = 0 AS passed FROM x")
 def _(t):
     f, p = kept(t)
     cols = ["seq", "ring", "rgb"]
@@ -214,6 +274,19 @@ def _(t):
 BDX = "SELECT id AS record_id, mx AS x, my AS y, CASE WHEN id % 2 = 0 THEN 'curb' ELSE 'unknown' END AS semantic FROM ({0}) b1"
 
 
+PROBED = "SELECT id AS record_id, mx AS x, my AS y, CASE WHEN id % 3 = 0 THEN id END AS track, id % 4 = 0 AS eligible, (id % 10) / 10.0D0 AS road_support FROM ({0}) b1"
+
+
+@query("q10_probe_findings", f"""WITH r AS MATERIALIZED ({PROBED.format(PB.duck(PB.BANDS)).replace('D0', '::double')}), e AS MATERIALIZED ({PB.duck(PB.PTS_ID)}), p AS (SELECT frame_id q_id, tx x, ty y FROM poses), d AS (SELECT q_id, min(sqrt(power(e.x-p.x,2)+power(e.y-p.y,2))) edge_m FROM p JOIN e ON abs(e.x-p.x) <= 2 AND abs(e.y-p.y) <= 2 AND power(e.x-p.x,2)+power(e.y-p.y,2) <= 4 GROUP BY 1),
+ n AS (SELECT q_id, count(*) near_records, count(track) tracked, count(*) FILTER (track IS NOT NULL AND eligible) shown, max(road_support) FILTER (track IS NOT NULL) best FROM p JOIN r ON abs(r.x-p.x) <= 2 AND abs(r.y-p.y) <= 2 AND power(r.x-p.x,2)+power(r.y-p.y,2) <= 4 GROUP BY 1)
+SELECT p.q_id, round(edge_m,6) AS edge_m, coalesce(near_records,0) AS near_records, coalesce(tracked,0) AS tracked, coalesce(shown,0) AS shown, concat_ws('|', CASE WHEN edge_m <= 0.001 THEN 'exact raw edge' WHEN edge_m IS NOT NULL THEN 'raw edge nearby' ELSE 'no raw edge' END, CASE WHEN tracked > 0 THEN 'tracked' ELSE 'not tracked' END, CASE WHEN shown > 0 THEN 'record shown' WHEN tracked > 0 THEN 'records held back' ELSE 'no local record' END, CASE WHEN best < 0.6 THEN 'road support is the limit' END) AS finding
+FROM p LEFT JOIN d USING (q_id) LEFT JOIN n USING (q_id)""")
+def _(t):
+    probes = t.poses.select(F.col("frame_id").alias("probe_id"), F.col("tx").alias("x"), F.col("ty").alias("y"))
+    f = A.probe_findings(probes, t.sql(PB.PTS_ID).select("id", "x", "y"), t.sql(PROBED.format(PB.BANDS)))
+    return f.withColumn("edge_m", r6("edge_m"))
+
+
 @query("q10_point_probe", f"""WITH r AS ({BDX.format(PB.duck(PB.BANDS))}), p AS (SELECT frame_id probe_id, tx x, ty y FROM poses), m AS (SELECT probe_id, record_id, semantic, sqrt((p.x-r.x)*(p.x-r.x)+(p.y-r.y)*(p.y-r.y)) d FROM p JOIN r ON abs(p.x-r.x) <= 2 AND abs(p.y-r.y) <= 2), b AS (SELECT *, row_number() OVER (PARTITION BY probe_id ORDER BY d, record_id) rn FROM m WHERE d <= 2)
 SELECT p.probe_id AS q_id, b.record_id AS p_id, b.semantic, CASE WHEN b.record_id IS NULL THEN 'no record nearby' ELSE 'nearest record' END AS finding FROM p LEFT JOIN b ON b.probe_id=p.probe_id AND rn=1""")
 def _(t):
@@ -222,6 +295,13 @@ def _(t):
 
 
 # --- scalar functions -----------------------------------------------------------------
+@query("f_quaternion_compose", "SELECT frame_id, round(sin(2*a/2),9)+0.0 AS qz, round(cos(2*a/2),9)+0.0 AS qw, round(tx*cos(a)-ty*sin(a)+tx,6) AS cx, round(tx*sin(a)+ty*cos(a)+ty,6) AS cy, 2*tz AS cz, round(-(tx*cos(a)+ty*sin(a)),6) AS ix, round(tx*sin(a)-ty*cos(a),6) AS iy FROM (SELECT *, 2*atan2(qz,qw) a FROM poses)")
+def _(t):
+    q, tr = C.compose(C.quat(), C.vec(), C.quat(), C.vec())
+    _, ti = C.inverse(C.quat(), C.vec())
+    return t.poses.select("frame_id", (F.round(q[2], 9) + 0.0).alias("qz"), (F.round(q[3], 9) + 0.0).alias("qw"), F.round(tr[0], 6).alias("cx"), F.round(tr[1], 6).alias("cy"), tr[2].alias("cz"), F.round(ti[0], 6).alias("ix"), F.round(ti[1], 6).alias("iy"))
+
+
 @query("f_quaternion_compose_inverse", "SELECT frame_id, true AS identity FROM poses")
 def _(t):
     qi, ti = C.inverse(C.quat(), C.vec())
@@ -270,6 +350,11 @@ def _(t):
     return row_index(t.traj, ["topic"], ["t_us", "event_id"]).select("topic", "event_id", "idx")
 
 
+@query("t05_inspection_points", "WITH f AS (SELECT frame_id, ts FROM poses ORDER BY ts, frame_id LIMIT 12), r AS (SELECT p.*, row_number() OVER (PARTITION BY frame_id ORDER BY seq,x,y,z,ring,rgb) record FROM points p JOIN f USING (frame_id)) SELECT frame_id, record, seq, x, ring FROM r WHERE record <= 50")
+def _(t):
+    return A.inspection_points(t.poses, t.points, ["seq", "x", "y", "z", "ring", "rgb"], 12, 50).select("frame_id", "record", "seq", "x", "ring")
+
+
 @query("t05_inspection_frames", "SELECT frame_id, ts FROM poses ORDER BY ts, frame_id LIMIT 12")
 def _(t):
     return t.poses.orderBy("ts", "frame_id").limit(12).select("frame_id", "ts")

@@ -41,10 +41,12 @@ def _(t):
 
 @query("j12_radius_neighbour_counts", f"WITH {SUPPORT} SELECT id, count(*) AS n FROM nbh GROUP BY 1")
 def _(t):
-    p = t.sql(PTS_ID).withColumns({"ix": C.cell("x", 1.5), "iy": C.cell("y", 1.5)})
-    m = S.with_offsets(p.select("id", "x", "y", "ix", "iy"), ["ix", "iy"], S.square(1)).alias("a").join(p.alias("b"), ["ix", "iy"])
-    u, v = F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")
-    return m.filter(u * u + v * v <= 2.25).groupBy(F.col("a.id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return S.neighbours(t.sql(PTS_ID), 1.5).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("j12_radius_neighbours", f"WITH pt AS MATERIALIZED ({duck(PTS_ID)}) SELECT a.id, b.id AS other_id, round(sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)),6) AS distance FROM pt a JOIN pt b ON b.x BETWEEN a.x-0.5 AND a.x+0.5 AND b.y BETWEEN a.y-0.5 AND a.y+0.5 AND power(a.x-b.x,2)+power(a.y-b.y,2) <= 0.25")
+def _(t):
+    return S.neighbours(t.sql(PTS_ID), 0.5).select("id", "other_id", r6("distance").alias("distance"))
 
 
 @query("a18_tls_line_fit", f"""WITH p AS (SELECT *, CAST(floor(x/8) AS BIGINT) k FROM ({duck(PTS_ID)})), m AS (SELECT k, count(*) n, avg(x) mx, avg(y) my, avg(x*x)-avg(x)*avg(x) xx, avg(x*y)-avg(x)*avg(y) xy, avg(y*y)-avg(y)*avg(y) yy FROM p GROUP BY 1),
@@ -64,7 +66,7 @@ def _(t):
     return B.hough_votes(support(t)).groupBy("theta_bin").agg(F.sum("votes").alias("votes"))
 
 
-@query("t03_vote_peak")
+@query("t03_vote_peak", f"WITH {HOUGH} SELECT theta_bin, rho_bin, votes FROM hh ORDER BY votes DESC, theta_bin, rho_bin LIMIT 1")
 def _(t):
     return B.hough_peak(support(t))
 
@@ -261,9 +263,9 @@ def _(t):
 
 @query("c14_centreline_points", f"""WITH {CLS}, {LAYERS}, cp AS (SELECT sample_id, x - ty*coalesce(diff,0)/2 cx, y + tx*coalesce(diff,0)/2 cy FROM cl WHERE confidence IN ('high','medium')),
  cg AS (SELECT sample_id, cx, cy, mean_z, row_number() OVER (PARTITION BY sample_id ORDER BY power((g.ix+0.5)*0.5-cx,2)+power((g.iy+0.5)*0.5-cy,2), g.ix, g.iy) rn FROM cp JOIN gnd g ON g.ix BETWEEN CAST(floor(cx/0.5) AS BIGINT)-2 AND CAST(floor(cx/0.5) AS BIGINT)+2 AND g.iy BETWEEN CAST(floor(cy/0.5) AS BIGINT)-2 AND CAST(floor(cy/0.5) AS BIGINT)+2)
-SELECT sample_id, round(cx,5) AS x, round(cy,5) AS y FROM cg WHERE rn=1""")
+SELECT sample_id, round(cx,5) AS x, round(cy,5) AS y, round(mean_z+0.05,6) AS z FROM cg WHERE rn=1""")
 def _(t):
-    return B.centreline_points(classes(t), ground(t), 0.5).select("sample_id", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+    return B.centreline_points(classes(t), ground(t), 0.5).select("sample_id", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), r6("z").alias("z"))
 
 
 def bridged_ribbons(t):
@@ -311,14 +313,24 @@ def tracks(t):
     return B.edge_tracks(clusters(t))
 
 
-@query("g12_edge_tracks")
+TRACKS = f"""{SLICE}, so AS MATERIALIZED (SELECT side, sample_id, cluster, lat_, px, py, raw_count, row_number() OVER (PARTITION BY side ORDER BY sample_id, cluster) rn FROM sc), gt AS (
+ SELECT side, rn, sample_id, cluster, sample_id || ':' || cluster AS track, [{{'id': sample_id || ':' || cluster, 'last': sample_id, 'lat': lat_, 'used': false}}] live FROM so WHERE rn = 1
+ UNION ALL SELECT side, rn, sample_id, cluster, coalesce(m.id, own), CASE WHEN m IS NULL THEN list_append(lv, {{'id': own, 'last': sample_id, 'lat': lat_, 'used': false}}) ELSE list_transform(lv, lambda e: CASE WHEN e.id = m.id THEN {{'id': e.id, 'last': sample_id, 'lat': lat_, 'used': true}} ELSE e END) END FROM (
+  SELECT *, list_sort(list_filter(list_transform(lv, lambda e, i: {{'d': abs(lat_ - e.lat), 'i': i, 'id': e.id, 'ok': NOT e.used AND sample_id <= e.last + 3}}), lambda e: e.ok AND e.d <= 0.55))[1] m FROM (
+   SELECT so.side, so.rn, so.sample_id, so.cluster, so.lat_, so.sample_id || ':' || so.cluster AS own, CASE WHEN so.sample_id = g.sample_id THEN g.live ELSE list_transform(list_filter(g.live, lambda e: so.sample_id <= e.last + 3), lambda e: {{'id': e.id, 'last': e.last, 'lat': e.lat, 'used': false}}) END lv FROM gt g JOIN so ON so.side = g.side AND so.rn = g.rn + 1))),
+ tr AS MATERIALIZED (SELECT gt.track, so.* FROM gt JOIN so USING (side, rn))"""
+
+
+@query("g12_edge_tracks", f"WITH {TRACKS} SELECT side, track, count(*) AS n, min(sample_id) AS first_id, max(sample_id) AS last_id FROM tr GROUP BY 1, 2")
 def _(t):
     return tracks(t).groupBy("side", "track").agg(F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("first_id"), F.max("sample_id").alias("last_id"))
 
 
-@query("g13_local_bands")
+@query("g13_local_bands", f"""WITH {TRACKS}, tp AS (SELECT *, CAST(1 + sum(b) OVER (PARTITION BY side, track ORDER BY sample_id, cluster) AS BIGINT) piece FROM (SELECT *, CASE WHEN sample_id > lag(sample_id) OVER (PARTITION BY side, track ORDER BY sample_id, cluster) + 3 THEN 1 ELSE 0 END b FROM tr)),
+ tg AS (SELECT side, track, piece, count(*) samples, CAST(sum(raw_count) AS BIGINT) observed_inliers, arg_min(px, (sample_id, cluster)) fx, arg_min(py, (sample_id, cluster)) fy, arg_max(px, (sample_id, cluster)) lx, arg_max(py, (sample_id, cluster)) ly FROM tp GROUP BY ALL), th AS (SELECT *, sqrt((lx-fx)*(lx-fx)+(ly-fy)*(ly-fy)) length, (lx-fx)/sqrt((lx-fx)*(lx-fx)+(ly-fy)*(ly-fy)) tx, (ly-fy)/sqrt((lx-fx)*(lx-fx)+(ly-fy)*(ly-fy)) ty FROM tg WHERE samples >= 5 AND sqrt((lx-fx)*(lx-fx)+(ly-fy)*(ly-fy)) >= 2)
+SELECT side, track, piece, any_value(samples) AS samples, any_value(observed_inliers) AS observed_inliers, round(any_value(length),5) AS length, round(any_value(tx),5)+0.0 AS tx, round(any_value(ty),5)+0.0 AS ty, round(any_value(-ty*fx+tx*fy),5)+0.0 AS rho, round(min(px*tx+py*ty),5)+0.0 AS s0, round(max(px*tx+py*ty),5)+0.0 AS s1 FROM th JOIN tp USING (side, track, piece) GROUP BY 1, 2, 3""")
 def _(t):
-    return B.local_bands(tracks(t)).select("side", "track", "piece", "samples", "observed_inliers", *[F.round(c, 5).alias(c) for c in ("length", "tx", "ty", "rho", "s0", "s1")])
+    return B.local_bands(tracks(t)).select("side", "track", "piece", "samples", "observed_inliers", *[(F.round(c, 5) + 0.0).alias(c) for c in ("length", "tx", "ty", "rho", "s0", "s1")])
 
 
 @query("j26_uncovered_track_points", f"""WITH {SLICE}, cb AS (SELECT sample_id, side, lat_ FROM sc WHERE raw_count >= 2) SELECT sample_id, side, cluster FROM sc t WHERE NOT EXISTS (SELECT 1 FROM cb c WHERE c.sample_id=t.sample_id AND c.side=t.side AND abs(c.lat_-t.lat_) <= 0.45)""")
@@ -369,9 +381,25 @@ def _(t):
     return b.select("band_id", "side", "semantic", "state", F.round("confidence", 4).alias("confidence"), "reasons")
 
 
-@query("c04_low_road_review")
+#: Band sides with every mix of supports.
+BSUP = """SELECT c_custkey AS band_id, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END AS side, 3 + c_custkey % 7 AS links, (c_custkey * 5 % 9) * 1.0D0 AS continuity, (c_custkey % 11) / 10.0D0 AS edge_support, (c_custkey * 3 % 13) / 12.0D0 AS road_support, (c_custkey * 7 % 11) / 10.0D0 AS observed_road_support,
+ (c_custkey * 5 % 7) / 6.0D0 AS topology_support, (c_custkey % 5) / 4.0D0 AS inside_support, (c_custkey * 3 % 8) / 8.0D0 AS outside_support, (c_custkey % 4) / 4.0D0 AS inner_match, (c_custkey % 3) / 2.0D0 AS local_road_edge_match, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE (c_custkey * 13 % 64 - 32) / 64.0D0 END AS height_delta,
+ CASE WHEN c_custkey % 2 = 0 THEN 'local_edge_fit' ELSE 'band' END AS source FROM customer"""
+
+
+@query("c03_boundary_semantics_rules", f"""WITH s AS ({duck(BSUP)}), k AS (SELECT *, abs(height_delta) h, least(1, continuity/8) run, links >= 5 AND continuity >= 2 AND edge_support >= 0.5 AND road_support >= 0.6 AND inside_support >= 0.45 AS basic, CASE WHEN source = 'local_edge_fit' THEN greatest(inner_match, local_road_edge_match) ELSE inner_match END mt, observed_road_support >= 0.6 AS seen FROM s),
+ r AS (SELECT *, coalesce(basic AND topology_support >= 0.6 AND continuity >= 3 AND mt >= 0.5 AND h >= 0.035 AND h <= 0.3, false) curb, coalesce(basic AND h >= 0.25 AND outside_support >= 0.35, false) step, basic AND outside_support < 0.35 AS wall FROM k)
+SELECT band_id, side, CASE WHEN curb THEN 'curb_candidate' WHEN step THEN 'step_candidate' WHEN wall THEN 'wall_or_green_boundary_candidate' ELSE 'unknown_boundary' END AS semantic, CASE WHEN curb THEN CASE WHEN seen THEN 'observed' ELSE 'inferred' END WHEN step THEN 'observed' WHEN wall THEN CASE WHEN edge_support >= 0.65 THEN 'observed' ELSE 'inferred' END WHEN basic THEN 'inferred' ELSE 'unknown' END AS state,
+ round(CASE WHEN curb THEN least(CASE WHEN seen THEN 1.0 ELSE 0.74 END, 0.2*run+0.2*edge_support+0.15*road_support+0.1*observed_road_support+0.15*topology_support+0.1*inside_support+0.1*inner_match) WHEN step THEN least(1.0, 0.25*run+0.25*edge_support+0.25*road_support+0.25*least(1.0, h/0.5)) WHEN wall THEN least(0.85, 0.3*run+0.3*edge_support+0.25*road_support+0.15*(1-outside_support)) WHEN basic THEN least(0.49, 0.2*edge_support+0.2*road_support+0.1*inside_support) ELSE 0 END, 4) AS confidence,
+ concat_ws('|', CASE WHEN links < 5 THEN 'few_links' END, CASE WHEN continuity < 2 THEN 'short_run' END, CASE WHEN edge_support < 0.5 THEN 'weak_edge' END, CASE WHEN road_support < 0.6 THEN 'weak_road' END, CASE WHEN NOT seen THEN 'weak_observed_road' END, CASE WHEN topology_support < 0.6 THEN 'weak_topology' END, CASE WHEN inside_support < 0.45 THEN 'weak_inside_ground' END, CASE WHEN curb AND NOT seen THEN 'inferred_continuation' END, CASE WHEN basic AND NOT curb AND NOT step AND NOT wall THEN 'basic_but_undecided' END) AS reasons FROM r""")
+def _(t):
+    b = B.classify_boundaries(t.sql(BSUP))
+    return b.select("band_id", "side", "semantic", "state", F.round("confidence", 4).alias("confidence"), "reasons")
+
+
+@query("c04_low_road_review", f"SELECT band_id, side, links, continuity FROM ({duck(BSUP)}) WHERE continuity >= 3 AND edge_support >= 0.5 AND inside_support >= 0.45 AND abs(height_delta) >= 0.035 AND road_support < 0.6")
 def _(t):
-    return B.low_road_review(B.boundary_support(checked(t))).select("band_id", "side", "links", F.round("continuity", 4).alias("continuity"))
+    return B.low_road_review(t.sql(BSUP)).select("band_id", "side", "links", "continuity")
 
 
 SIDE = f"""{CAND}, sb AS (SELECT id band_id, 1 side, tx, ty, CASE WHEN id % 3 = 0 THEN 'curb_candidate' ELSE 'unknown_boundary' END sem, (id % 10)/10.0 es FROM bd UNION ALL SELECT id, -1, tx, ty, CASE WHEN id % 3 = 0 THEN 'curb_candidate' ELSE 'unknown_boundary' END, (id % 10)/10.0 FROM bd),

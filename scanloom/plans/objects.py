@@ -29,20 +29,27 @@ def _(t):
     return m.groupBy("iz").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("x") * F.col("n")), 3).alias("sum_x"))
 
 
-@query("j28_coasting_boxes")
+@query("j28_coasting_boxes", """WITH fr AS (SELECT *, row_number() OVER (ORDER BY ts, frame_id) i, 2*atan2(qz,qw) a FROM poses), pr AS (SELECT n.frame_id, p.frame_id from_frame, n.i-p.i age, p.tx ptx, p.ty pty, p.a pa, n.tx, n.ty, n.a FROM fr p JOIN fr n ON n.i-p.i BETWEEN 1 AND 5 AND n.ts-p.ts <= 2),
+ cb AS MATERIALIZED (SELECT pr.frame_id, from_frame, box_id, age, cos(a-pa)*(b.x-ptx)-sin(a-pa)*(b.y-pty)+tx AS x, sin(a-pa)*(b.x-ptx)+cos(a-pa)*(b.y-pty)+ty AS y, l*1.1+0.2 AS l, yaw+(a-pa) AS yaw FROM boxes b JOIN pr ON b.frame_id=pr.from_frame),
+ lv AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY age, box_id) rn FROM cb WHERE NOT EXISTS (SELECT 1 FROM boxes c WHERE c.frame_id=cb.frame_id AND power(c.x-cb.x,2)+power(c.y-cb.y,2) < 0.25)),
+ g AS (SELECT frame_id, rn, from_frame, box_id, age, x, y, l, yaw, true AS kept, [{'x': x, 'y': y}] AS k FROM lv WHERE rn=1 UNION ALL SELECT frame_id, rn, from_frame, box_id, age, x, y, l, yaw, ok, CASE WHEN ok THEN list_append(k, {'x': x, 'y': y}) ELSE k END FROM (SELECT lv.*, g.k, len(list_filter(g.k, lambda e: power(e.x-lv.x,2)+power(e.y-lv.y,2) < 0.25)) = 0 AS ok FROM g JOIN lv ON lv.frame_id=g.frame_id AND lv.rn=g.rn+1))
+SELECT frame_id, from_frame, box_id, age, round(x,6) AS x, round(y,6) AS y, round(l,6) AS l, round(yaw,6)+0.0 AS yaw FROM g WHERE kept""")
 def _(t):
-    return B.coast_boxes(t.boxes, t.poses).select("frame_id", "from_frame", "box_id", "age", *[r6(c).alias(c) for c in ("x", "y", "l", "yaw")])
+    return B.coast_boxes(t.boxes, t.poses).select("frame_id", "from_frame", "box_id", "age", *[(r6(c) + 0.0).alias(c) for c in ("x", "y", "l", "yaw")])
 
 
 def tracks(t):
     return B.track_boxes(t.boxes, 1.0, 2.0)
 
 
-@query("st07_object_tracks_batch", """WITH RECURSIVE b AS (SELECT frame_id, box_id, ts, x, y, class, row_number() OVER (PARTITION BY class ORDER BY ts, box_id) rn FROM boxes), st AS (
+TRACKED = """WITH RECURSIVE b AS (SELECT frame_id, box_id, ts, x, y, class, row_number() OVER (PARTITION BY class ORDER BY ts, box_id) rn FROM boxes), st AS (
  SELECT class, rn, [{'id': frame_id || ':' || box_id, 'ts': ts, 'x': x, 'y': y}] live, frame_id, box_id, frame_id || ':' || box_id track_id FROM b WHERE rn=1
  UNION ALL SELECT class, rn, CASE WHEN m IS NULL THEN list_append(lv, {'id': frame_id || ':' || box_id, 'ts': ts, 'x': x, 'y': y}) ELSE list_transform(lv, lambda e: CASE WHEN e.id = m.id THEN {'id': e.id, 'ts': ts, 'x': x, 'y': y} ELSE e END) END, frame_id, box_id, coalesce(m.id, frame_id || ':' || box_id) FROM (
   SELECT *, list_sort(list_filter(list_transform(lv, lambda e, i: {'d': sqrt(power(x-e.x,2)+power(y-e.y,2)), 'i': i, 'id': e.id}), lambda e: e.d < 2.0))[1] m FROM (SELECT b.*, list_filter(s.live, lambda e: b.ts - e.ts <= 1.0) lv FROM st s JOIN b ON b.class=s.class AND b.rn=s.rn+1)))
-SELECT frame_id, box_id, class, track_id FROM st""")
+SELECT frame_id, box_id, class, track_id FROM st"""
+
+
+@query("st07_object_tracks_batch", TRACKED)
 def _(t):
     return tracks(t).select("frame_id", "box_id", "class", "track_id")
 

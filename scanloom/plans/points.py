@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scanloom.functions import columns as C
+from scanloom.operators import features as X
 from scanloom.operators import points as P
 from scanloom.plans.registry import query
 
@@ -117,14 +118,65 @@ def _(t):
     return P.normalise(vendor(t, F.col("seq") * 3 % 1000 / 1024.0), "xt32", every=2).select("frame_id", "seq", "x", "offset_ms")
 
 
+@query("p11_normalise_xt32_rings", VELO.split("SELECT frame_id, seq, x, ring, round(raw")[0] + """, o AS (SELECT *, raw + CASE WHEN turned=1 THEN 360/3.61 ELSE 0 END AS off FROM k WHERE rn > 1), n AS (SELECT *, count(*) OVER (PARTITION BY frame_id, ring) c, x*x+y*y r2, power(lead(x) OVER w - x,2)+power(lead(y) OVER w - y,2)+power(lead(z) OVER w - z,2) d2 FROM o WINDOW w AS (PARTITION BY frame_id, ring ORDER BY rn))
+SELECT frame_id, seq, x, ring, round(off,5) AS offset_ms, round(r2,6) AS range2, round(d2,6) AS dist2 FROM n WHERE ring < 3 AND c >= 2""")
+def _(t):
+    out = P.normalise(t.points, "xt32_rings", 3, timed=False)
+    return out.select("frame_id", "seq", "x", "ring", F.round("offset_ms", 5).alias("offset_ms"), r6("range2").alias("range2"), r6("dist2").alias("dist2"))
+
+
+@query("w14_ring_differences", "SELECT frame_id, seq, x, ring, round(x*x+y*y,6) AS range2, round(power(lead(x) OVER w - x,2)+power(lead(y) OVER w - y,2)+power(lead(z) OVER w - z,2),6) AS dist2 FROM points WINDOW w AS (PARTITION BY frame_id, ring ORDER BY seq,x,y,z,ring,rgb)")
+def _(t):
+    return X.ring_differences(t.points, P.ORDER).select("frame_id", "seq", "x", "ring", r6("range2").alias("range2"), r6("dist2").alias("dist2"))
+
+
+#: Rings that run along two walls and a cross wall, made from the order of the points.
+WALLS = """SELECT frame_id, ring, i, CASE WHEN s % 3 = 0 THEN 4.0D0 WHEN s % 3 = 1 THEN 6.0D0 ELSE 6.0D0 + (i % 12 + 1) / 16.0D0 END AS x, CASE WHEN s % 3 = 2 THEN (i - i % 12 - 1) / 16.0D0 - 1 ELSE i / 16.0D0 - 1 END + (seq % 3) / 4096.0D0 AS y, (seq % 3) / 1024.0D0 AS z
+ FROM (SELECT frame_id, ring, seq, i, CAST(FLOOR(i / 12) AS BIGINT) AS s FROM (SELECT frame_id, ring, seq, CAST(ROW_NUMBER() OVER (PARTITION BY frame_id, ring ORDER BY seq, x, y, z, rgb) - 1 AS BIGINT) AS i FROM points) a) b"""
+
+
+def _labels_sql():
+    g = X.GROUP
+    lead = ", ".join(f"lead({c}, {k}) OVER w {c}{k}" for k in range(1, g + 1) for c in "xyz")
+    lag = ", ".join(f"lag({c}, {k}) OVER w {c}_{k}" for k in (1, 2) for c in "xyz")
+    v = [f"({c}{g}-{c})" for c in "xyz"]
+    two = "+".join(f"{a}*{a}" for a in v)
+
+    def width(k):
+        u = [f"({c}{k}-{c})" for c in "xyz"]
+        return f"power({u[1]}*{v[2]}-{u[2]}*{v[1]},2)+power({u[2]}*{v[0]}-{u[0]}*{v[2]},2)+power({u[0]}*{v[1]}-{u[1]}*{v[0]},2)"
+    step = lambda a, b: "+".join(f"power({c}{b}-{c}{a},2)" for c in "xyz")
+    seen = lambda k: f"(x{k}*x{k}+y{k}*y{k} >= 0.64)"
+    whole = " AND ".join(seen(k) for k in ["", *range(1, g + 1)])
+    norm, dot = "sqrt(x*x+y*y+z*z)", lambda k: f"(x*(x{k}-x)+y*(y{k}-y)+z*(z{k}-z))"
+    cos = lambda k, d: f"{dot(k)}/{norm}/sqrt({d})"
+    usual = lambda c: f"({c} >= {X.COS_BACK!r} AND {c} <= {X.COS_SIGHT!r})"
+    steady = lambda d, e, k1, k2: f"({seen(k1)} AND {seen(k2)} AND greatest(sqrt({d}),sqrt({e})) <= 2*least(sqrt({d}),sqrt({e})) AND abs(sqrt({d})-sqrt({e})) <= 0.1)"
+    meet = "((x_1-x)*(x1-x)+(y_1-y)*(y1-y)+(z_1-z)*(z1-z))/sqrt(da)/sqrt(db)"
+    return f"""WITH s AS ({WALLS}), n AS (SELECT *, {lead}, {lag} FROM s WINDOW w AS (PARTITION BY frame_id, ring ORDER BY i)),
+ g AS (SELECT *, {two} two, list_max([{', '.join(width(k) for k in range(1, g))}]) wd, list_sort([{', '.join(step(k if k else '', k + 1) for k in range(g))}]) sp, {step('', '_1')} da, {step('', '1')} db, {step('_1', '_2')} ea, {step('1', '2')} eb FROM n),
+ f AS (SELECT *, coalesce({whole} AND two*two >= 225*wd AND sp[2] >= 1e-16 AND sp[{g}] < 3.24*sp[2], false) flat FROM g),
+ d AS (SELECT *, {', '.join(f'CASE WHEN flat THEN {a}/sqrt(two) END u{c}' for a, c in zip(v, 'xyz'))} FROM f),
+ e AS (SELECT *, coalesce(bool_or(flat) OVER (PARTITION BY frame_id, ring ORDER BY i ROWS BETWEEN {g - 1} PRECEDING AND 1 PRECEDING), false) ins, coalesce(lag(flat, {g}) OVER w, false) ends, abs(ux*lag(ux, {g}) OVER w + uy*lag(uy, {g}) OVER w + uz*lag(uz, {g}) OVER w) bend,
+  {seen('_1')} AND {seen('1')} AND da >= 1e-16 AND db >= 1e-16 kn, {cos('_1', 'da')} ca, {cos('1', 'db')} cb, {meet} mt FROM d WINDOW w AS (PARTITION BY frame_id, ring ORDER BY i))
+SELECT frame_id, ring, i, CASE WHEN NOT {seen('')} THEN 'blind' WHEN flat AND ends AND bend < 0.707 THEN 'edge_plane' WHEN ins OR (flat AND ends) THEN 'plane'
+ WHEN kn AND mt > {X.COS_BENT!r} AND (({usual('ca')} AND cb > {X.COS_SIGHT!r} AND db > 0.0225 AND db > 4*da AND {steady('da', 'ea', '_1', '_2')}) OR ({usual('cb')} AND ca > {X.COS_SIGHT!r} AND da > 0.0225 AND da > 4*db AND {steady('db', 'eb', '1', '2')})) THEN 'edge_jump'
+ WHEN NOT (flat OR ends) AND kn AND NOT {usual('ca')} AND NOT {usual('cb')} THEN 'wire' WHEN NOT (flat OR ends) AND kn AND mt < {X.COS_STRAIGHT!r} AND greatest(da,db) < 1.2*least(da,db) AND least(da,db) >= 1e-8 THEN 'plane' WHEN flat OR ends THEN 'possible_plane' ELSE 'none' END AS label FROM e""".replace("D0", "::double")
+
+
+@query("w15_point_labels", _labels_sql())
+def _(t):
+    return X.point_labels(t.sql(WALLS), ["i"]).select("frame_id", "ring", "i", "label")
+
+
 @query("p12_normalise_robosense", HEADED.format(extra="ring,"))
 def _(t):
     return P.normalise(vendor(t, F.col("seq") * 3 % 1000 / 1024.0), "robosense", every=2).select("frame_id", "seq", "x", "ring", "offset_ms")
 
 
-@query("p13_normalise_robotdog", "SELECT frame_id, seq, x, (seq-20)*390625/1e6 AS offset_ms FROM points WHERE x*x+y*y+z*z >= 0.64 AND seq >= 20 AND ring < 3")
+@query("p13_normalise_ns_offset", "SELECT frame_id, seq, x, (seq-20)*390625/1e6 AS offset_ms FROM points WHERE x*x+y*y+z*z >= 0.64 AND seq >= 20 AND ring < 3")
 def _(t):
-    return P.normalise(vendor(t, (F.col("seq") - 20) * F.lit(390625.0)), "robotdog", 3).select("frame_id", "seq", "x", "offset_ms")
+    return P.normalise(vendor(t, (F.col("seq") - 20) * F.lit(390625.0)), "ns_offset", 3).select("frame_id", "seq", "x", "offset_ms")
 
 
 @query("p14_rigid_transform", """

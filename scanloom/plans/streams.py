@@ -11,27 +11,44 @@ from scanloom.plans import objects as PO
 from scanloom.plans.points import r6
 from scanloom.plans.registry import query
 from scanloom.plans.trajectories import ARR, arrived
-from scanloom.session import scratch
+from scanloom.session import cut, scratch
 from scanloom.streaming import operators as ST
 
 
-def stream_of(t, df, name):
-    """A derived table written to the shared folder and read back as a stream."""
+def stream_of(t, df, name, by, files=5, jitter=0.0, end_keys=()):
+    """A derived table as a stream of ``files`` files, one a batch, cut by ``by``.
+
+    ``jitter`` (share of a slice) moves rows into the file before or after; with
+    ``end_keys`` a last file ends every key with a mark far ahead."""
     out = scratch(t.spark, name)
-    df.write.parquet(out)
-    return t.spark.readStream.schema(df.schema).parquet(out)
+    if end_keys:
+        df = df.withColumn(ST.END, F.lit(False))
+    v = F.unix_micros(by).cast("double") if dict(df.dtypes)[by].startswith("timestamp") else F.col(by).cast("double")
+    df = cut(df.withColumn("_v", v))
+    lo, hi = df.agg(F.min("_v"), F.max("_v")).first()
+    width = (hi - lo) / files + 1e-9
+    moved = F.col("_v") + F.when(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 0, jitter * width).when(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 1, -jitter * width).otherwise(0.0)
+    cut_ = df.withColumn("_slice", F.greatest(F.lit(0), F.least(F.lit(files - 1), F.floor((moved - lo) / width)))).drop("_v")
+    for k in range(files):
+        cut_.filter(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(out)
+    if end_keys:
+        top = df.agg(F.max(by)).first()[0]
+        marks = df.select(*end_keys).distinct()
+        cols = [F.col(f.name) if f.name in end_keys else F.lit(True if f.name == ST.END else float(top) + 1e6 if f.name == by else None).cast(f.dataType).alias(f.name) for f in df.drop("_v").schema.fields]
+        marks.select(*cols).coalesce(1).write.mode("append").parquet(out)
+    return t.spark.readStream.schema(df.drop("_v").schema).option("maxFilesPerTrigger", 1).parquet(out)
 
 
 @query("st01_stream_health", ARR + " SELECT topic, count(*) AS n, count(*) FILTER (ts_ns < top) AS backward, round((max(ts_ns)-min(ts_ns))/1e9, 3) AS span_s, true AS finished FROM (SELECT *, max(ts_ns) OVER (PARTITION BY topic ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) top FROM l) GROUP BY 1")
 def _(t):
-    h = ST.drain_batches(ST.health(stream_of(t, arrived(t), "messages"), 60.0), "health", lambda df, _: df, "update")
+    h = ST.drain_batches(ST.health(stream_of(t, arrived(t), "messages", "arrival"), 60.0), "health", lambda df, _: df, "update")
     last = h.groupBy("topic").agg(F.max_by(F.struct("n", "backward", "span_s", "finished"), "batch_id").alias("_l"))
     return last.select("topic", "_l.n", "_l.backward", F.round("_l.span_s", 3).alias("span_s"), "_l.finished")
 
 
 @query("st02_time_regression_epochs", ARR + ", e AS (SELECT *, CASE WHEN ts_ns < pt THEN 1 ELSE 0 END b FROM l) SELECT topic, event_id, CAST(sum(b) OVER (PARTITION BY topic ORDER BY arrival, event_id) AS BIGINT) AS epoch FROM e")
 def _(t):
-    return ST.drain(ST.epochs(stream_of(t, arrived(t), "messages")), "epochs").select("topic", "event_id", "epoch")
+    return ST.drain(ST.epochs(stream_of(t, arrived(t), "messages", "arrival")), "epochs").select("topic", "event_id", "epoch")
 
 
 LATE = " SELECT topic, event_id, coalesce(ts_ns < max(ts_ns) OVER (PARTITION BY topic ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM l"
@@ -39,7 +56,7 @@ LATE = " SELECT topic, event_id, coalesce(ts_ns < max(ts_ns) OVER (PARTITION BY
 
 @query("st03_late_record_drop", ARR + LATE)
 def _(t):
-    return ST.drain(ST.late_rows(stream_of(t, arrived(t), "messages")), "late").select("topic", "event_id", "late")
+    return ST.drain(ST.late_rows(stream_of(t, arrived(t), "messages", "arrival")), "late").select("topic", "event_id", "late")
 
 
 @query("st03_late_records_batch", ARR + LATE)
@@ -50,7 +67,7 @@ def _(t):
 
 @query("st04_clock_alignment", "SELECT event_id, ts_ns + 250000000 - CAST(round((ts_ns + 250000000 - (ts_ns - ts_ns % 1000000000 + 7000000000))/1e9) AS BIGINT)*1000000000 AS aligned_ns FROM messages")
 def _(t):
-    s = stream_of(t, t.messages.withColumn("reference_ns", F.col("ts_ns") - F.col("ts_ns") % 1_000_000_000 + 7_000_000_000), "clock")
+    s = stream_of(t, t.messages.withColumn("reference_ns", F.col("ts_ns") - F.col("ts_ns") % 1_000_000_000 + 7_000_000_000), "clock", "ts_ns")
     return ST.drain(ST.align_clock(s, "ts_ns", 250_000_000, "reference_ns"), "clock").select("event_id", "aligned_ns")
 
 
@@ -59,55 +76,95 @@ def _(t):
     at = lambda c: F.timestamp_micros(F.col(c))
     img = O.neighbour(t.traj_b, [], ["t_us"], {"prev": F.col("t_us")}).filter(F.col("prev").isNotNull()).select(F.col("event_id").alias("image_id"), at("prev").alias("prev_time"), at("t_us").alias("event_time"))
     rec = t.traj_a.select("event_id", at("t_us").alias("event_time"))
-    return ST.drain(ST.bundle_stream(stream_of(t, rec, "rec"), stream_of(t, img, "img"), delay="40 days"), "bundles").select("event_id", "image_id")
+    return ST.drain(ST.bundle_stream(stream_of(t, rec, "rec", "event_time"), stream_of(t, img, "img", "event_time"), delay="6 hours"), "bundles").select("event_id", "image_id")
+
+
+@query("st05_three_stream_bundles", """WITH i AS (SELECT event_id image_id, t_us, lag(t_us) OVER (ORDER BY t_us) prev FROM traj_b)
+SELECT 'inertial' AS kind, a.event_id AS id, image_id, a.t_us - prev AS rebased_us FROM traj_a a JOIN i ON a.t_us > prev AND a.t_us <= i.t_us
+UNION ALL SELECT 'scan', p.event_id, image_id, p.t_us - prev FROM traj p JOIN i ON p.topic = 'purchase' AND p.t_us >= prev AND p.t_us < i.t_us""")
+def _(t):
+    at = lambda c: F.timestamp_micros(F.col(c))
+    img = cut(O.neighbour(t.traj_b, [], ["t_us"], {"prev": F.col("t_us")}).filter(F.col("prev").isNotNull()).select(F.col("event_id").alias("image_id"), at("prev").alias("prev_time"), at("t_us").alias("event_time")))
+    rows = lambda d, n: stream_of(t, d.select(F.col("event_id").alias("id"), at("t_us").alias("event_time")), n, "event_time")
+    b = ST.bundle_three(rows(t.traj.filter("topic = 'purchase'"), "scan"), rows(t.traj_a, "imu"), lambda: stream_of(t, img, "img", "event_time"), delay="6 hours")
+    return ST.drain(b, "bundles3").select("kind", "id", "image_id", "rebased_us")
 
 
 def posed(t):
-    return t.poses.withColumn("run", F.lit(0)).select("run", "frame_id", "ts", "tx", "ty", "tz", "qx", "qy", "qz", "qw")
+    """Poses of several runs (laps of 128 frames)."""
+    return t.poses.withColumn("run", F.floor(F.col("frame_id") / 128)).select("run", "frame_id", "ts", "tx", "ty", "tz", "qx", "qy", "qz", "qw")
 
 
-@query("st06_keyframe_selection_stream")
+def keyframe_stream(t):
+    s = stream_of(t, posed(t), "poses", "ts", jitter=0.05, end_keys=("run",))
+    return ST.drain(ST.select_keyframes(s, delay=60.0), "keyframes")
+
+
+KEYFRAMES = """WITH RECURSIVE p AS (SELECT *, frame_id // 128 AS run, row_number() OVER (PARTITION BY frame_id // 128 ORDER BY ts, frame_id) rn, min(ts) OVER (PARTITION BY frame_id // 128) t0 FROM poses),
+ k AS (SELECT run, rn, frame_id, ts - t0 >= 5 AS hit, CASE WHEN ts - t0 >= 5 THEN {'ts': ts, 'x': tx, 'y': ty, 'z': tz, 'c': qz, 'd': qw} END AS last FROM p WHERE rn = 1
+ UNION ALL SELECT run, rn, frame_id, h, CASE WHEN h THEN {'ts': ts, 'x': tx, 'y': ty, 'z': tz, 'c': qz, 'd': qw} ELSE last END FROM (SELECT p.*, k.last, p.ts - t0 >= 5 AND (k.last IS NULL OR (p.ts - k.last.ts >= 0.5 AND (sqrt(power(tx-k.last.x,2)+power(ty-k.last.y,2)+power(tz-k.last.z,2)) >= 1.5 OR degrees(2*acos(least(1.0, abs(k.last.c*qz+k.last.d*qw)))) >= 10))) AS h FROM k JOIN p ON p.run = k.run AND p.rn = k.rn + 1))
+SELECT frame_id FROM k WHERE hit"""
+
+
+@query("st06_keyframe_selection_stream", KEYFRAMES)
 def _(t):
-    return ST.drain(ST.select_keyframes(stream_of(t, posed(t), "poses")), "keyframes").select("frame_id")
+    return keyframe_stream(t).filter(~F.col("late")).select("frame_id")
 
 
-@query("st06_stream_equals_batch", "SELECT 0 AS only_stream, 0 AS only_batch")
+@query("st06_stream_equals_batch", "SELECT count(*) AS both, 0 AS only_stream, 0 AS only_batch FROM (" + KEYFRAMES.removeprefix("WITH RECURSIVE ").join(("WITH RECURSIVE ", ")")))
 def _(t):
-    s = ST.drain(ST.select_keyframes(stream_of(t, posed(t), "poses")), "keyframes").select("frame_id")
-    b = J.keyframes(posed(t), ["run"], ["frame_id"]).select("frame_id")
-    a = s.join(b, "frame_id", "left_anti").agg(F.count(F.lit(1)).cast("int").alias("only_stream")).withColumn("_one", F.lit(1))
-    c = b.join(s, "frame_id", "left_anti").agg(F.count(F.lit(1)).cast("int").alias("only_batch")).withColumn("_one", F.lit(1))
-    return a.join(c, "_one").drop("_one")
+    s = keyframe_stream(t).select("frame_id", "late")
+    b = J.keyframes(posed(t), ["run"], ["ts", "frame_id"]).select("frame_id", F.lit(True).alias("batch"))
+    j = s.filter(~F.col("late")).join(b, "frame_id", "full")
+    return j.agg(F.count_if(F.col("late").isNotNull() & F.col("batch")).alias("both"), F.count_if(F.col("batch").isNull()).cast("int").alias("only_stream"), F.count_if(F.col("late").isNull()).cast("int").alias("only_batch"))
+
 
+def box_stream(t):
+    return stream_of(t, t.boxes, "boxes", "ts", jitter=0.05, end_keys=("class",))
 
-@query("st07_object_tracks_stream")
+
+@query("st07_object_tracks_stream", PO.TRACKED)
 def _(t):
-    return ST.drain(ST.track_boxes(stream_of(t, t.boxes, "boxes")), "tracks").select("frame_id", "box_id", "class", "track_id")
+    return ST.drain(ST.track_boxes(box_stream(t), delay=60.0), "tracks").filter(~F.col("late")).select("frame_id", "box_id", "class", "track_id")
+
+
+def removal(t, motion):
+    ground = B.box_ground(t.points.filter("is_ground"), t.boxes, margin=2.0, min_points=5, distance=0.2, below=2.0, above=2.0)
+    return B.safe_removal(t.points, t.boxes, motion, ground, PO.KEY).groupBy("frame_id", "fate").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_motion(t):
+    m = ST.track_motion(box_stream(t), delay=60.0, static_max=3.0, moving_min=4.0)
+    return ST.drain(m, "motion").filter(~F.col("late"))
+
+
+@query("st08_track_motion_stream", f"""WITH tk AS MATERIALIZED (SELECT b.*, x.track_id FROM ({PO.TRACKED}) x JOIN boxes b USING (frame_id, box_id)), m AS (SELECT a.box_id, count(*) n, min({{'ts': b.ts, 'b': b.box_id, 'x': b.x, 'y': b.y}}) f, max({{'ts': b.ts, 'b': b.box_id, 'x': b.x, 'y': b.y}}) l FROM tk a JOIN tk b ON a.track_id=b.track_id AND b.ts <= a.ts AND b.ts >= a.ts-1.5 GROUP BY 1),
+ s AS (SELECT *, l.ts-f.ts d, sqrt(power(l.x-f.x,2)+power(l.y-f.y,2)) e FROM m) SELECT box_id, n AS observations, d AS duration, CASE WHEN n < 6 OR d < 0.6 THEN 'UNKNOWN' WHEN e/d <= 3 THEN 'STATIC' WHEN e/d >= 4 THEN 'MOVING' ELSE 'UNKNOWN' END AS motion FROM s""")
+def _(t):
+    return stream_motion(t).select("box_id", "observations", "duration", "motion")
 
 
 @query("st08_safe_removal_stream")
 def _(t):
-    tracked = ST.track_boxes(stream_of(t, t.boxes, "boxes"))
+    return removal(t, cut(stream_motion(t)))
 
-    def each(df, _):
-        motion = B.motion_states(df, static_max=3.0, moving_min=4.0)
-        ids = df.select("frame_id", "box_id")
-        boxes = t.boxes.join(ids, ["frame_id", "box_id"], "left_semi")
-        pts = t.points.join(ids.select("frame_id").distinct(), "frame_id", "left_semi")
-        ground = B.box_ground(pts.filter("is_ground"), boxes, margin=2.0, min_points=5, distance=0.2, below=2.0, above=2.0)
-        return B.safe_removal(pts, boxes, motion, ground, PO.KEY).groupBy("frame_id", "fate").agg(F.count(F.lit(1)).alias("n"))
 
-    return ST.drain_batches(tracked, "removal", each).select("frame_id", "fate", "n")
+@query("st08_stream_equals_batch", "SELECT 0 AS differing, (SELECT count(*) FROM points) AS points")
+def _(t):
+    batch = B.motion_states(B.track_boxes(t.boxes, 1.0, 2.0), static_max=3.0, moving_min=4.0)
+    a, b = removal(t, cut(stream_motion(t))), removal(t, batch).withColumnRenamed("n", "m")
+    j = a.join(b, ["frame_id", "fate"], "full")
+    return j.agg(F.count_if(~F.col("n").eqNullSafe(F.col("m"))).cast("int").alias("differing"), F.sum("n").alias("points"))
 
 
 @query("st09_frame_outcomes", "SELECT event_id AS seq, t_us*1000 AS stamp_ns, topic AS reason, (user_id % 50)::double AS inference_ms FROM traj WHERE user_id % 7 <> 0")
 def _(t):
-    return ST.drain_batches(stream_of(t, t.diag, "diag"), "outcomes", lambda df, _: ST.outcome_records(df)).select("seq", "stamp_ns", "reason", "inference_ms")
+    return ST.drain_batches(stream_of(t, t.diag, "diag", "event_id"), "outcomes", lambda df, _: ST.outcome_records(df)).select("seq", "stamp_ns", "reason", "inference_ms")
 
 
 @query("st10_interval_files", "SELECT CAST(floor(frame_id/10) AS BIGINT) AS interval, count(*) AS n, sum(x) AS sum_x FROM points GROUP BY 1")
 def _(t):
-    s = ST.interval_files(stream_of(t, t.points.select("frame_id", "seq", "x", "y", "z"), "points"), 10)
+    s = ST.interval_files(stream_of(t, t.points.select("frame_id", "seq", "x", "y", "z"), "points", "frame_id"), 10)
     return ST.drain(s, "intervals", ["interval"]).groupBy("interval").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sum_x"))
 
 
@@ -115,21 +172,21 @@ def _(t):
 SELECT q_id, p_id FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d, p_id) rn FROM m WHERE d <= 10) WHERE rn=1""")
 def _(t):
     kf = t.poses.select(F.col("frame_id").alias("id"), "ts", F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("tz").alias("z"))
-    return ST.revisit_batches(stream_of(t, kf, "kf"), "revisits").select("q_id", "p_id")
+    return ST.revisit_batches(stream_of(t, kf, "kf", "ts"), "revisits").select("q_id", "p_id")
 
 
-@query("st12_tumbling_metrics", "SELECT topic, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, count(*) AS n, round(avg(x),6) AS mae_m FROM (SELECT topic, make_timestamp(t_us) ts, x, t_us FROM traj) GROUP BY 1,2")
+@query("st12_tumbling_metrics", "SELECT topic, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, count(*) AS n, round(avg(x)+1e-9,6) AS mae_m FROM (SELECT topic, make_timestamp(t_us) ts, x, t_us FROM traj) GROUP BY 1,2")
 def _(t):
-    s = stream_of(t, t.traj.select("topic", F.timestamp_micros("t_us").alias("event_time"), F.col("x").alias("error")), "pairs")
+    s = stream_of(t, t.traj.select("topic", F.timestamp_micros("t_us").alias("event_time"), F.col("x").alias("error")), "pairs", "event_time", jitter=0.001)
     # Complete output of every window, also those the watermark has not closed.
     m = ST.drain_batches(ST.tumbling_metrics(s, "1 hour", "2 hours"), "tumbling", lambda df, _: df, "update")
     last = m.groupBy("topic", "start").agg(F.max_by(F.struct("n", "mae_m"), "batch_id").alias("_l"))
-    return last.select("topic", F.unix_micros("start").alias("start_us"), "_l.n", r6("_l.mae_m").alias("mae_m"))
+    return last.select("topic", F.unix_micros("start").alias("start_us"), "_l.n", r6(F.col("_l.mae_m") + 1e-9).alias("mae_m"))
 
 
 @query("st13_coasting_candidates", "SELECT b.frame_id, b.box_id, f.frame_id AS to_frame FROM boxes b JOIN poses f ON f.ts > b.ts AND f.ts <= b.ts + 2")
 def _(t):
     at = lambda c: F.timestamp_micros(((F.col(c) + 86400) * 1e6).cast("long"))
-    b = stream_of(t, t.boxes.select("frame_id", "box_id", at("ts").alias("event_time")), "boxes")
-    f = stream_of(t, t.poses.select("frame_id", at("ts").alias("event_time")), "frames")
-    return ST.drain(ST.coast_stream(b, f, delay="40 days"), "coast").select("frame_id", "box_id", "to_frame")
+    b = stream_of(t, t.boxes.select("frame_id", "box_id", at("ts").alias("event_time")), "boxes", "event_time")
+    f = stream_of(t, t.poses.select("frame_id", at("ts").alias("event_time")), "frames", "event_time")
+    return ST.drain(ST.coast_stream(b, f, delay="30 seconds"), "coast").select("frame_id", "box_id", "to_frame")

@@ -87,9 +87,10 @@ def _(t):
 
 @query("j06_pose_pair_violations", """SELECT coalesce(a.frame_id, b.frame_id) AS id, CASE WHEN b.frame_id IS NULL THEN 'missing optimised' WHEN a.frame_id IS NULL THEN 'missing raw' ELSE 'stamp differs' END AS violation
 FROM (SELECT * FROM poses WHERE support <> 'clamped') a FULL JOIN (SELECT frame_id, ts + CASE WHEN qw > 0.999 THEN 0.001 ELSE 0 END ts FROM poses WHERE tx < 50) b ON a.frame_id = b.frame_id
-WHERE a.frame_id IS NULL OR b.frame_id IS NULL OR abs(a.ts-b.ts) > 1e-6""")
+WHERE a.frame_id IS NULL OR b.frame_id IS NULL OR abs(a.ts-b.ts) > 1e-6
+UNION ALL SELECT frame_id, 'stamp not increasing' FROM (SELECT frame_id, row_number() OVER (PARTITION BY ts ORDER BY frame_id) rn FROM (SELECT frame_id, CASE WHEN frame_id % 40 = 3 THEN ts - 0.5 ELSE ts END ts FROM poses WHERE support <> 'clamped')) WHERE rn > 1""".replace("(SELECT * FROM poses WHERE support <> 'clamped') a", "(SELECT * REPLACE (CASE WHEN frame_id % 40 = 3 THEN ts - 0.5 ELSE ts END AS ts) FROM poses WHERE support <> 'clamped') a"))
 def _(t):
-    a = t.poses.filter("support <> 'clamped'").withColumnRenamed("frame_id", "id")
+    a = t.poses.filter("support <> 'clamped'").withColumn("ts", F.when(F.col("frame_id") % 40 == 3, F.col("ts") - 0.5).otherwise(F.col("ts"))).withColumnRenamed("frame_id", "id")
     b = t.poses.filter("tx < 50").withColumn("ts", F.col("ts") + F.when(F.col("qw") > 0.999, 0.001).otherwise(0.0)).withColumnRenamed("frame_id", "id")
     return J.pose_pairs(a, b)[1]
 

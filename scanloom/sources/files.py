@@ -77,16 +77,26 @@ def read_poses(spark: SparkSession, path: str) -> DataFrame:
     return one.select(F.when(F.col("_n") == 1, F.col("id")).otherwise(F.raise_error(F.concat(F.lit("repeated pose id "), F.col("id")))).cast("long").alias("id"), "_r.*")
 
 
-def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType | str, finite_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact header and types, or failure; numerics must be finite."""
+def read_contract_csv(spark: SparkSession, path: str, schema: T.StructType | str, finite_cols: Sequence[str] = (), rising: str | None = None) -> DataFrame:
+    """Exact header and types, or failure; numerics must be finite; ``rising`` names a
+    column whose values must not fall from line to line of a file."""
     df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    names = df.columns
+    if rising is not None:
+        df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+        nb = O.neighbour(df, ["_file"], ["_block", "_line"], {"_before": F.col(rising)})
+        falls = F.raise_error(F.concat(F.lit(f"{rising} falls at "), F.col(rising).cast("string")))
+        df = nb.withColumn(rising, F.when(F.col(rising) < F.col("_before"), falls).otherwise(F.col(rising)).cast(df.schema[rising].dataType)).select(*names)
     return P.finite(df, list(finite_cols), "fail") if finite_cols else df
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Frame manifest whose file names must carry the zero-padded id."""
+    """Frame manifest: each id once, file names must carry the zero-padded id."""
     m = read_contract_csv(spark, path, "frame_id bigint, timestamp double, point_count bigint, pcd_path string", ["timestamp"])
     want = F.format_string("frame_%06d.pcd", "frame_id")
+    one = m.groupBy("frame_id").agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct("timestamp", "point_count", "pcd_path")).alias("_r"))
+    repeated = F.raise_error(F.concat(F.lit("repeated frame id "), F.col("frame_id").cast("string")))
+    m = one.select(F.when(F.col("_n") == 1, F.col("frame_id")).otherwise(repeated).cast("long").alias("frame_id"), "_r.*")
     return m.withColumn("pcd_path", F.when(C.basename("pcd_path") == want, F.col("pcd_path")).otherwise(F.raise_error(F.concat(F.lit("manifest name: "), F.col("pcd_path")))))
 
 
