@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from scanloom.functions import columns as C
 from scanloom.operators import ordered as O
 from scanloom.operators import spatial as S
-from scanloom.session import cut
+from scanloom.session import cut, drop
 
 #: Unit steps of the four edge directions, counter-clockwise.
 DX, DY = (1, 0, -1, 0), (0, 1, 0, -1)
+#: Largest block of whole cells is 2 to this power.
+BLOCK_LEVELS = 20
 
 
 def _by_dir(d: Column, values: Sequence[int]) -> Column:
@@ -52,7 +54,9 @@ def trace_rings(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     step = 1
     while True:
         far = st.select(*k, F.col("e").alias("ptr"), F.col("ptr").alias("p2"), F.col("lab").alias("l2"), F.col("off").alias("o2"))
-        st = cut(st.join(far, [*k, "ptr"]).select(*k, "e", F.col("p2").alias("ptr"), F.least("lab", "l2").alias("lab"), F.when(F.col("l2") < F.col("lab"), F.lit(step).cast("long") + F.col("o2")).otherwise(F.col("off")).alias("off")))
+        last, st = st, cut(st.join(far, [*k, "ptr"]).select(*k, "e", F.col("p2").alias("ptr"), F.least("lab", "l2").alias("lab"), F.when(F.col("l2") < F.col("lab"), F.lit(step).cast("long") + F.col("o2")).otherwise(F.col("off")).alias("off")))
+        if step > 1:
+            drop(last)
         step *= 2
         lab = st.select(*k, "e", "lab")
         open_ = first.join(lab, [*k, "e"]).join(lab.select(*k, F.col("e").alias("succ"), F.col("lab").alias("ls")), [*k, "succ"]).filter(F.col("lab") != F.col("ls"))
@@ -90,7 +94,7 @@ def simplify(points: DataFrame, keys: Sequence[str], idx: str = "idx", tol: floa
     k = list(keys)
     e = points.groupBy(*k).agg(F.min(idx).alias("lo"), F.max(idx).alias("hi"))
     p = cut(points.select(*k, F.col(idx).alias("i"), "x", "y").join(e, k))
-    kept = e.select(*k, F.explode(F.array("lo", "hi")).alias("i")).distinct()
+    kept = cut(e.select(*k, F.explode(F.array("lo", "hi")).alias("i")).distinct())
     while True:
         ends = [p.filter(F.col("i") == F.col(c)).select(*k, "lo", "hi", F.col("x").alias(f"{c}x"), F.col("y").alias(f"{c}y")).distinct() for c in ("lo", "hi")]
         j = p.filter((F.col("i") > F.col("lo")) & (F.col("i") < F.col("hi"))).join(ends[0].join(ends[1], [*k, "lo", "hi"]), [*k, "lo", "hi"])
@@ -99,27 +103,54 @@ def simplify(points: DataFrame, keys: Sequence[str], idx: str = "idx", tol: floa
         off = F.when(n < 1e-12, C.hypot(F.col("x") - F.col("lox"), F.col("y") - F.col("loy"))).otherwise(F.abs(dy * F.col("x") - dx * F.col("y") + F.col("hix") * F.col("loy") - F.col("hiy") * F.col("lox")) / F.when(n < 1e-12, 1.0).otherwise(n))
         far = cut(j.withColumn("_d", off).groupBy(*k, "lo", "hi").agg(F.max(F.struct("_d", -F.col("i"))).alias("_m")).filter(F.col("_m._d") > tol).select(*k, "lo", "hi", (-F.col("_m.col2")).alias("cut_i")))
         if far.isEmpty():
+            drop(p, far)
             return kept
-        kept = kept.unionByName(far.select(*k, F.col("cut_i").alias("i")))
+        more = cut(kept.unionByName(far.select(*k, F.col("cut_i").alias("i"))))
+        # Only intervals that are split go on; the split vertex closes one and opens the other.
         q = p.join(far, [*k, "lo", "hi"])
-        # The split vertex closes one interval and opens the other.
         left = q.filter(F.col("i") <= F.col("cut_i")).withColumn("hi", F.col("cut_i")).drop("cut_i")
         right = q.filter(F.col("i") >= F.col("cut_i")).withColumn("lo", F.col("cut_i")).drop("cut_i")
-        p = cut(left.unionByName(right))
+        rest = cut(left.unionByName(right))
+        drop(p, kept, far)
+        p, kept = rest, more
 
 
 # --- containment and distance ------------------------------------------------------
 def within(points: DataFrame, edges: DataFrame, g: float = 8.0) -> DataFrame:
     """(point_id, poly_id) with the point inside (holes excluded).  ``edges``:
-    poly_id, x1, y1, x2, y2 of all rings.  Candidates come from bounding-box
-    cells; only edges in the point's row band are then crossed."""
-    box = edges.groupBy("poly_id").agg(F.least(F.min("x1"), F.min("x2")).alias("xl"), F.greatest(F.max("x1"), F.max("x2")).alias("xh"), F.least(F.min("y1"), F.min("y2")).alias("yl"), F.greatest(F.max("y1"), F.max("y2")).alias("yh"))
-    b = box.withColumn("ix", F.explode(F.sequence(C.cell("xl", g), C.cell("xh", g)))).withColumn("iy", F.explode(F.sequence(C.cell("yl", g), C.cell("yh", g))))
+    poly_id, x1, y1, x2, y2 of all rings.
+
+    Cells that an edge passes are border cells; only their points are tested against
+    the edges of their row.  All other cells of a row lie wholly in or out: the cells
+    between the crossings of the row's centre line, taken in pairs, are in.  These
+    stretches are cut into blocks of 1, 2, 4, ... cells, so that a wide polygon has a
+    few blocks a row, and a point meets them by its cell at each block size."""
+    c = F.col
+    row = edges.withColumn("iy", F.explode(F.sequence(C.cell(F.least("y1", "y2"), g), C.cell(F.greatest("y1", "y2"), g))))
+    x_at = lambda y: c("x1") + (c("x2") - c("x1")) * (y - c("y1")) / (c("y2") - c("y1"))
+    clip = lambda y: F.least(F.greatest(y, F.least("y1", "y2")), F.greatest("y1", "y2"))
+    ends = [F.when(c("y1") == c("y2"), c(f"x{i}")).otherwise(x_at(clip((c("iy") + k) * F.lit(g)))) for i, k in ((1, 0), (2, 1))]
+    pad = 1e-9 * g
+    border = row.withColumn("ix", F.explode(F.sequence(C.cell(F.least(*ends) - pad, g), C.cell(F.greatest(*ends) + pad, g)))).select("poly_id", "ix", "iy").distinct()
+    mid = (c("iy") + 0.5) * F.lit(g)
+    cross = row.filter((c("y1") > mid) != (c("y2") > mid)).select("poly_id", "iy", x_at(mid).alias("at"))
+    w = W.partitionBy("poly_id", "iy").orderBy("at")
+    span = cross.select("poly_id", "iy", F.row_number().over(w).alias("k"), (C.cell("at", g) + 1).alias("a"), C.cell(F.lead("at").over(w), g).alias("b")).filter("k % 2 = 1 AND b > a")
+    lo, hi = (lambda l: F.expr(f"a + shiftleft(1L, {l}) - 1 >> {l}")), (lambda l: F.expr(f"b >> {l}"))
+    lv = span.withColumn("l", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_LEVELS))))
+    lv = lv.withColumns({"p": lo("l"), "q": hi("l"), "pp": lo("l + 1"), "qq": hi("l + 1")}).filter("p < q")
+    top = (c("l") == BLOCK_LEVELS) | (c("pp") >= c("qq"))
+    parts = F.when(top, F.sequence("p", c("q") - 1)).otherwise(F.array_compact(F.array(F.when(c("p") < 2 * c("pp"), c("p")), F.when(c("q") > 2 * c("qq"), c("q") - 1))))
+    blocks = cut(lv.select("poly_id", "iy", "l", F.explode(parts).alias("block")))
+    levels = [r.l for r in blocks.select("l").distinct().collect()]
     p = points.select("point_id", "x", "y", C.cell("x", g).alias("ix"), C.cell("y", g).alias("iy"))
-    c = p.join(b, ["ix", "iy"]).filter(F.col("x").between(F.col("xl"), F.col("xh")) & F.col("y").between(F.col("yl"), F.col("yh"))).select("point_id", "x", "y", "poly_id", F.col("iy").alias("row"))
-    e = edges.withColumn("row", F.explode(F.sequence(C.cell(F.least("y1", "y2"), g), C.cell(F.greatest("y1", "y2"), g))))
-    m = c.join(e, ["poly_id", "row"]).filter(((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")))
-    return m.groupBy("point_id", "x", "y", "poly_id").count().filter(F.col("count") % 2 == 1).select("point_id", "poly_id").distinct()
+    near = p.join(border, ["ix", "iy"]).join(row, ["poly_id", "iy"]).filter(((c("y1") > c("y")) != (c("y2") > c("y"))) & (c("x") < x_at(c("y"))))
+    tested = near.groupBy("point_id", "x", "y", "poly_id").count().filter(c("count") % 2 == 1).select("point_id", "poly_id")
+    if not levels:
+        return tested.distinct()
+    at = p.withColumn("l", F.explode(F.array(*map(F.lit, levels)))).withColumn("block", F.expr("ix >> l"))
+    whole = at.join(blocks, ["iy", "l", "block"]).select("point_id", "poly_id", "ix", "iy").join(border, ["poly_id", "ix", "iy"], "left_anti")
+    return tested.union(whole.select("point_id", "poly_id")).distinct()
 
 
 def _laid(df: DataFrame, g: float, pad: int) -> DataFrame:
@@ -194,6 +225,25 @@ def route_constraint() -> Column:
     return F.when(F.col("status") == "inferred_road_edge_constraint", "road_edge_constraints").otherwise("road_edge_context")
 
 
+def route_sidewalk() -> Column:
+    return F.when(F.col("classification") == "confirmed_sidewalk_or_shoulder", "sidewalk_or_shoulder_confirmed").otherwise("sidewalk_or_shoulder_context")
+
+
+#: Classes of cross sections that stay open areas.
+OPEN_CLASSES = ("two_sided_abnormal_width_open_candidate", "no_boundary_default_width_candidate")
+
+
+def open_areas(segments: DataFrame) -> DataFrame:
+    """One candidate line (a point for a lone sample) of each segment without road evidence."""
+    s = segments.filter(F.col("class").isin(*OPEN_CLASSES)).groupBy("segment_id").agg(F.count(F.lit(1)).alias("samples"), F.min("sample_id").alias("first_id"), F.max("sample_id").alias("last_id"))
+    return s.withColumns({"layer": F.lit("junction_or_open_area_candidate"), "geometry_type": F.when(F.col("samples") == 1, "Point").otherwise("LineString")})
+
+
+def open_support(cells: DataFrame, tile: int = 256) -> DataFrame:
+    """Four-connected support surfaces of open-area cells (ix, iy)."""
+    return S.grid_components(cells, [(1, 0), (0, 1), (-1, 0), (0, -1)], tile).withColumn("layer", F.lit("junction_or_open_area_support"))
+
+
 def route_object() -> Column:
     c = F.col("final_class")
     return F.when(c == "building_marker_candidate", "building_marker_candidates").when(c.isin("building_marker_possible", "building_marker_possible_recovered"), "building_marker_possible").otherwise("scene_object_context")
@@ -228,10 +278,11 @@ def keep_roads(regions: DataFrame, min_cells: int = 50) -> DataFrame:
     return regions.filter(F.col("cell_count") >= min_cells)
 
 
-def keep_buildings(objects: DataFrame, road_edges: DataFrame, surface_edges: DataFrame, curb_segments: DataFrame, clearance: float = 2.0) -> DataFrame:
+def keep_buildings(objects: DataFrame, road_edges: DataFrame, surface_edges: DataFrame, curb_segments: DataFrame, clearance: float = 2.0,
+                   min_length: float = 6.0, min_points: int = 200, min_coverage: float = 0.85, max_above: float = 0.0) -> DataFrame:
     """Strict marker gates, then no marker whose middle lies on observed road or
     whose line comes within the clearance of a surface or edge."""
-    o = object_lines(objects).filter((F.col("length") >= 6.0) & (F.col("support_points") >= 200) & (F.col("coverage") >= 0.85) & (F.col("road_overlap") <= 0.0) & (F.col("road_above") <= 0.0))
+    o = object_lines(objects).filter((F.col("length") >= min_length) & (F.col("support_points") >= min_points) & (F.col("coverage") >= min_coverage) & (F.col("road_overlap") <= max_above) & (F.col("road_above") <= max_above))
     return clear_of_surfaces(o, road_edges, surface_edges, curb_segments, clearance)
 
 

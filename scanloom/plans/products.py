@@ -14,6 +14,7 @@ from scanloom.plans import objects as PO
 from scanloom.plans.evidence import CELLS, ground
 from scanloom.plans.points import r6
 from scanloom.plans.registry import query
+from scanloom.session import cut
 
 D = lambda s: s.replace("D0", "::double")
 EDGE = f"""c AS MATERIALIZED ({CELLS}), ed AS (SELECT ix x, iy y, 0 d, ix+1 ex, iy ey FROM c UNION ALL SELECT ix+1, iy, 1, ix+1, iy+1 FROM c UNION ALL SELECT ix+1, iy+1, 2, ix, iy+1 FROM c UNION ALL SELECT ix, iy+1, 3, ix, iy FROM c),
@@ -129,14 +130,29 @@ def _(t):
     return c.unionByName(o)
 
 
-def suppressed(t):
-    o = V.object_lines(PO.final(t)).filter((F.col("length") >= 4.0) & (F.col("coverage") >= 0.6) & (F.col("road_above") <= 0.5))
-    return V.clear_of_surfaces(o, t.sql(POLYS), t.sql(POLYS), PB.segs(t).selectExpr("ax AS x1", "ay AS y1", "bx AS x2", "`by` AS y2"), 0.25)
+#: Small surfaces, so that some markers keep clear of all of them.
+TINY = SQ.replace("0.5D0 + (c_custkey % 4) / 4.0D0 AS h", "0.0625D0 + (c_custkey % 4) / 32.0D0 AS h")
 
 
-@query("c13_product_suppression")
+@query("c13_product_suppression", f"""WITH {PO.FINAL}, l AS (SELECT object_id line_id, center_x-length/2 x1, center_x+length/2 x2, center_y y1, final_class FROM fin WHERE length >= 4 AND coverage >= 0.6 AND road_above <= 0.5 AND road_overlap <= 0.5 AND support_points >= 0), s AS MATERIALIZED ({D(TINY)}), b AS (SELECT line_id, x1, x2, cx, h, abs(y1-cy) v FROM l JOIN s ON x2 >= cx-h-1 AND x1 <= cx+h+1 AND abs(y1-cy) <= h+1),
+ d AS (SELECT line_id, sqrt(power(greatest(cx-h-x2, x1-cx-h, 0),2)+power(greatest(v-h,0),2)) outer_d, CASE WHEN v < h/2 AND x1 > cx-h/2 AND x2 < cx+h/2 THEN least(h/2-v, x1-cx+h/2, cx+h/2-x2) ELSE 0 END inner_d FROM b)
+SELECT line_id AS object_id, CASE final_class WHEN 'building_marker_candidate' THEN 'building_marker_candidates' WHEN 'building_marker_possible' THEN 'building_marker_possible' ELSE 'scene_object_context' END AS layer FROM l WHERE line_id NOT IN (SELECT line_id FROM d WHERE greatest(outer_d, inner_d) < 0.0625)""")
+def _(t):
+    p = cut(t.sql(POLYS.replace(SQ, TINY)))
+    return V.keep_buildings(PO.final(t), p, p, p, 0.0625, 4.0, 0, 0.6, 0.5).select("object_id", "layer")
+
+
+@query("c12_sidewalk_and_open_routing", f"""WITH {SEG}, op AS (SELECT segment_id, count(*) n FROM sgs WHERE class IN ('two_sided_abnormal_width_open_candidate', 'no_boundary_default_width_candidate') GROUP BY 1)
+SELECT 'open' AS kind, segment_id AS source_id, 'junction_or_open_area_candidate' AS layer, CASE WHEN n = 1 THEN 'Point' ELSE 'LineString' END AS geometry_type FROM op
+UNION ALL SELECT 'sidewalk', c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'sidewalk_or_shoulder_confirmed' ELSE 'sidewalk_or_shoulder_context' END, 'Polygon' FROM customer
+UNION ALL SELECT 'boundary', c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'curb_candidates' ELSE 'boundary_unknown' END, 'LineString' FROM customer""")
 def _(t):
-    return suppressed(t).select("object_id", "layer")
+    k = t.customer.select(F.col("c_custkey").alias("source_id"))
+    walk = k.withColumn("classification", F.when(F.col("source_id") % 3 == 0, "confirmed_sidewalk_or_shoulder").otherwise("possible_sidewalk_or_shoulder"))
+    edge = k.withColumn("semantic", F.when(F.col("source_id") % 3 == 0, "curb_candidate").otherwise("wall_or_green_boundary_candidate"))
+    out = V.open_areas(segments(t)).select(F.lit("open").alias("kind"), F.col("segment_id").alias("source_id"), "layer", "geometry_type")
+    out = out.unionByName(walk.select(F.lit("sidewalk").alias("kind"), "source_id", V.route_sidewalk().alias("layer"), F.lit("Polygon").alias("geometry_type")))
+    return out.unionByName(edge.select(F.lit("boundary").alias("kind"), "source_id", V.route_boundary().alias("layer"), F.lit("LineString").alias("geometry_type")))
 
 
 @query("c13_road_fragments", f"""WITH c AS MATERIALIZED ({CELLS}), nb AS MATERIALIZED (SELECT a.ix, a.iy, b.ix bx, b.iy byy FROM c a JOIN c b ON (a.ix=b.ix AND abs(a.iy-b.iy)=1) OR (a.iy=b.iy AND abs(a.ix-b.ix)=1)),
