@@ -36,6 +36,8 @@ K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, WORDS = 0.6, 0.8, 5
 #: Items of one index, items of one block of its lists, and what the terms of the second rank may add up to.
 ITEMS, BLOCK, SLACK = 20_000, 16, 0.1
+#: Bytes of text whose windows are held at once.
+STEP_BYTES = 1 << 20
 _WORD = re.compile(r"\w+")
 
 
@@ -199,7 +201,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, min_o
             ix = sent.value
             for b in batches:
                 ids = b.column(0)
-                for lo, hi in common.blocks(pa.compute.binary_length(b.column(1)).to_pylist()):
+                for lo, hi in common.blocks(pa.compute.binary_length(b.column(1)).to_pylist(), STEP_BYTES):
                     found = sorted(matches(ix, [words_of(t) for t in b.column(1).slice(lo, hi - lo).to_pylist()], min_score, min_overlap).items())
                     if found:
                         rows = ids.take(pa.array([lo + d for (d, _), _ in found]))
@@ -223,7 +225,7 @@ def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, min_o
             for b in batches:
                 texts = b.column(place)
                 keep = np.ones(len(texts), bool)
-                for lo, hi in common.blocks([n or 0 for n in pa.compute.binary_length(texts).to_pylist()]):
+                for lo, hi in common.blocks([n or 0 for n in pa.compute.binary_length(texts).to_pylist()], STEP_BYTES):
                     found = matches(ix, [words_of(t or "") for t in texts.slice(lo, hi - lo).to_pylist()], min_score, min_overlap)
                     keep[[lo + d for d, _ in found]] = False
                 yield b.filter(pa.array(keep))

@@ -11,7 +11,7 @@ SHAPE = 6
 LINE_WORDS = 3
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=65_536)
 def shape(word: str) -> str:
     """A: capitals, a: lower case, o: other letters, 0: digits, a sign of ASCII for
     itself, else ?; a run of one class gives it once."""
