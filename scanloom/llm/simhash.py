@@ -190,7 +190,8 @@ def near_duplicates(df: DataFrame, words: int = 5, limit: int = 2, segments: int
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     edges = cut(links(distinct, limit, segments, words64), "links")
     roots = label_components(edges)
-    named = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = cut(distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    # a table of its own, so that the join below can split the rows of a large component
+    ids = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "ids")
     named = cut(named.join(ids, "root").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
