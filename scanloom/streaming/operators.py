@@ -3,7 +3,7 @@
 Keyed automata run in ``applyInPandasWithState`` and come in two kinds.  What is
 defined on the order of arrival (``arrival_ordered``) sees a key's rows batch by
 batch.  What is defined on event time (``event_ordered``) waits: rows are held in the
-state of their key until its newest stamp is ``delay`` ahead of them, and then run
+state of their key until its newest stamp is ``delay`` ahead of them (0: not at all), and then run
 in event order, so the result does not depend on how files fall into batches.  Rows
 that come after their place has been run are marked ``late`` and change nothing.
 With ``idle`` (milliseconds; for streams that run on, as a drained one would wait for
@@ -90,10 +90,10 @@ def event_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn:
             held = [*held, got]
         pdf = pd.concat(held, ignore_index=True).sort_values(order, kind="stable") if held else None
         if pdf is not None and len(pdf):
-            ready = pdf if gone else pdf[pdf[order[0]] < newest - delay]
+            ready = pdf if gone else pdf[pdf[order[0]] <= newest - delay]
             if len(ready):
                 out, inner = fn(ready, inner)
-                # stamps up to here are run; an equal one may still be held
+                # stamps before this are run; more rows of this very stamp may still come
                 done = float("inf") if gone else newest - delay
                 if len(out):
                     yield out.assign(late=False)[[*names, "late"]]
@@ -179,7 +179,7 @@ def late_rows(messages: DataFrame, tolerance_ns: int = 0) -> DataFrame:
     return arrival_ordered(messages, ["topic"], ["arrival", "event_id"], step, ddl(messages) + ", late boolean")
 
 
-def select_keyframes(poses: DataFrame, warm_up=5.0, min_dt=0.5, min_move=1.5, min_turn_deg=10.0, delay: float = 10.0) -> DataFrame:
+def select_keyframes(poses: DataFrame, warm_up=5.0, min_dt=0.5, min_move=1.5, min_turn_deg=10.0, delay: float = 0.0) -> DataFrame:
     """Streaming keyframe selection per run; the warm-up counts from the run's first pose."""
     cols = [c for c in poses.columns if c != END]
     scan = J.keyframe_step(warm_up, min_dt, min_move, min_turn_deg, cols)
@@ -189,20 +189,20 @@ def select_keyframes(poses: DataFrame, warm_up=5.0, min_dt=0.5, min_move=1.5, mi
         out, last = scan(pdf.assign(_t0=t0), last)
         return out, [t0, last]
 
-    return event_ordered(poses, ["run"], ["ts", "frame_id"], step, ddl(poses), delay)
+    return event_ordered(poses, ["run"], ["ts", *[c for c in ("frame_id",) if c in cols]], step, ddl(poses), delay)
 
 
 def _boxes(boxes: DataFrame) -> DataFrame:
     return boxes.select("frame_id", "box_id", "ts", "x", "y", "class", *[c for c in (END,) if c in boxes.columns])
 
 
-def track_boxes(boxes: DataFrame, timeout: float = 1.0, radius: float = 2.0, delay: float = 5.0) -> DataFrame:
+def track_boxes(boxes: DataFrame, timeout: float = 1.0, radius: float = 2.0, delay: float = 0.0) -> DataFrame:
     b = _boxes(boxes)
     cols = [c for c in b.columns if c != END]
     return event_ordered(b, ["class"], ["ts", "box_id"], B.track_step(timeout, radius, cols), ddl(b) + ", track_id string", delay)
 
 
-def track_motion(boxes: DataFrame, timeout: float = 1.0, radius: float = 2.0, delay: float = 5.0, window: float = 1.5, **limits) -> DataFrame:
+def track_motion(boxes: DataFrame, timeout: float = 1.0, radius: float = 2.0, delay: float = 0.0, window: float = 1.5, **limits) -> DataFrame:
     """Tracks with the motion state over each track's last ``window`` seconds; the
     observations of the window are part of the state."""
     b = _boxes(boxes)
