@@ -456,8 +456,8 @@ def edge_tracks(clusters: DataFrame, max_lateral_gap: float = 0.55, max_gap: int
     """Greedy tracking of slice clusters along the samples, near before far.
     The state is the short list of tracks seen in the last few samples."""
     def scan(pdf: pd.DataFrame, state):
-        live = [list(s) for s in (state or [])]
-        out, sample, used = [], None, set()
+        live, sample, used = state or [[], None, []]  # a split may end inside a sample
+        live, used, out = [list(s) for s in live], set(used), []
         for i, lat, k in zip(pdf["sample_id"], pdf["lateral"], pdf["cluster"]):
             if i != sample:
                 live, sample, used = [t for t in live if i <= t[1] + max_gap], i, set()
@@ -474,7 +474,7 @@ def edge_tracks(clusters: DataFrame, max_lateral_gap: float = 0.55, max_gap: int
                 t[1], t[2] = int(i), float(lat)
                 used.add(best[1])
                 out.append(t[0])
-        return pdf.assign(track=out), live
+        return pdf.assign(track=out), [live, None if sample is None else int(sample), sorted(used)]
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clusters.schema.fields) + ", track string"
     return O.carried_scan(clusters, ["side"], ["sample_id", "cluster"], scan, ddl, rows_per_split)

@@ -390,11 +390,11 @@ BSUP = """SELECT c_custkey AS band_id, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -
 @query("c03_boundary_semantics_rules", f"""WITH s AS ({duck(BSUP)}), k AS (SELECT *, abs(height_delta) h, least(1, continuity/8) run, links >= 5 AND continuity >= 2 AND edge_support >= 0.5 AND road_support >= 0.6 AND inside_support >= 0.45 AS basic, CASE WHEN source = 'local_edge_fit' THEN greatest(inner_match, local_road_edge_match) ELSE inner_match END mt, observed_road_support >= 0.6 AS seen FROM s),
  r AS (SELECT *, coalesce(basic AND topology_support >= 0.6 AND continuity >= 3 AND mt >= 0.5 AND h >= 0.035 AND h <= 0.3, false) curb, coalesce(basic AND h >= 0.25 AND outside_support >= 0.35, false) step, basic AND outside_support < 0.35 AS wall FROM k)
 SELECT band_id, side, CASE WHEN curb THEN 'curb_candidate' WHEN step THEN 'step_candidate' WHEN wall THEN 'wall_or_green_boundary_candidate' ELSE 'unknown_boundary' END AS semantic, CASE WHEN curb THEN CASE WHEN seen THEN 'observed' ELSE 'inferred' END WHEN step THEN 'observed' WHEN wall THEN CASE WHEN edge_support >= 0.65 THEN 'observed' ELSE 'inferred' END WHEN basic THEN 'inferred' ELSE 'unknown' END AS state,
- round(CASE WHEN curb THEN least(CASE WHEN seen THEN 1.0 ELSE 0.74 END, 0.2*run+0.2*edge_support+0.15*road_support+0.1*observed_road_support+0.15*topology_support+0.1*inside_support+0.1*inner_match) WHEN step THEN least(1.0, 0.25*run+0.25*edge_support+0.25*road_support+0.25*least(1.0, h/0.5)) WHEN wall THEN least(0.85, 0.3*run+0.3*edge_support+0.25*road_support+0.15*(1-outside_support)) WHEN basic THEN least(0.49, 0.2*edge_support+0.2*road_support+0.1*inside_support) ELSE 0 END, 4) AS confidence,
+ round(CASE WHEN curb THEN least(CASE WHEN seen THEN 1.0 ELSE 0.74 END, 0.2*run+0.2*edge_support+0.15*road_support+0.1*observed_road_support+0.15*topology_support+0.1*inside_support+0.1*inner_match) WHEN step THEN least(1.0, 0.25*run+0.25*edge_support+0.25*road_support+0.25*least(1.0, h/0.5)) WHEN wall THEN least(0.85, 0.3*run+0.3*edge_support+0.25*road_support+0.15*(1-outside_support)) WHEN basic THEN least(0.49, 0.2*edge_support+0.2*road_support+0.1*inside_support) ELSE 0 END + 1e-9, 4) AS confidence,
  concat_ws('|', CASE WHEN links < 5 THEN 'few_links' END, CASE WHEN continuity < 2 THEN 'short_run' END, CASE WHEN edge_support < 0.5 THEN 'weak_edge' END, CASE WHEN road_support < 0.6 THEN 'weak_road' END, CASE WHEN NOT seen THEN 'weak_observed_road' END, CASE WHEN topology_support < 0.6 THEN 'weak_topology' END, CASE WHEN inside_support < 0.45 THEN 'weak_inside_ground' END, CASE WHEN curb AND NOT seen THEN 'inferred_continuation' END, CASE WHEN basic AND NOT curb AND NOT step AND NOT wall THEN 'basic_but_undecided' END) AS reasons FROM r""")
 def _(t):
     b = B.classify_boundaries(t.sql(BSUP))
-    return b.select("band_id", "side", "semantic", "state", F.round("confidence", 4).alias("confidence"), "reasons")
+    return b.select("band_id", "side", "semantic", "state", F.round(F.col("confidence") + 1e-9, 4).alias("confidence"), "reasons")
 
 
 @query("c04_low_road_review", f"SELECT band_id, side, links, continuity FROM ({duck(BSUP)}) WHERE continuity >= 3 AND edge_support >= 0.5 AND inside_support >= 0.45 AND abs(height_delta) >= 0.035 AND road_support < 0.6")
