@@ -41,7 +41,11 @@ def _(t):
     return V.ring_summary(rings(t), ["root_ix", "root_iy"], 0.25).agg(F.sum("ring_size").alias("vertices"), F.sum("area").alias("area"))
 
 
-@query("g07_line_simplification")
+@query("g07_line_simplification", """WITH RECURSIVE q AS MATERIALIZED (SELECT topic, event_id i, x, y FROM traj), iv AS (SELECT topic, min(i) lo, max(i) hi FROM q GROUP BY 1
+ UNION ALL SELECT topic, unnest([lo, ci]), unnest([ci, hi]) FROM (SELECT topic, lo, hi, arg_max(i, (d, -i)) ci, max(d) md FROM (
+  SELECT iv.topic, lo, hi, q.i, CASE WHEN sqrt(power(b.x-a.x,2)+power(b.y-a.y,2)) < 1e-12 THEN sqrt(power(q.x-a.x,2)+power(q.y-a.y,2)) ELSE abs((b.y-a.y)*q.x-(b.x-a.x)*q.y+b.x*a.y-b.y*a.x)/sqrt(power(b.x-a.x,2)+power(b.y-a.y,2)) END d
+  FROM iv JOIN q a ON a.topic=iv.topic AND a.i=lo JOIN q b ON b.topic=iv.topic AND b.i=hi JOIN q ON q.topic=iv.topic AND q.i > lo AND q.i < hi) GROUP BY ALL) WHERE md > 8.0)
+SELECT topic, lo AS i FROM iv UNION SELECT topic, hi FROM iv""")
 def _(t):
     p = t.traj.select("topic", F.col("event_id").alias("idx"), "x", "y")
     return V.simplify(p, ["topic"], tol=8.0)
