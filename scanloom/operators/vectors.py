@@ -172,7 +172,9 @@ def min_distance(lines: DataFrame, segments: DataFrame, max_d: float, polygons:
     g = float(max_d)
     a = _laid(lines.select("line_id", "x1", "y1", "x2", "y2"), g, 2)
     b = _laid(segments.select("x1", "y1", "x2", "y2").distinct(), g, 0).select("ix", "iy", *[F.col(c).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")])
-    m = a.join(b, ["ix", "iy"]).drop("ix", "iy").distinct()
+    # boxes further apart than max_d are out before pairs that met in several cells are made one
+    gap = lambda c: F.greatest(F.least(f"{c}1", f"{c}2") - F.greatest(f"s_{c}1", f"s_{c}2"), F.least(f"s_{c}1", f"s_{c}2") - F.greatest(f"{c}1", f"{c}2"))
+    m = a.join(b, ["ix", "iy"]).drop("ix", "iy").filter((gap("x") <= max_d) & (gap("y") <= max_d)).distinct()
     m = m.withColumns({"_p": C.point_segment_distance(*[F.col(c) for c in ("x1", "y1", "s_x1", "s_y1", "s_x2", "s_y2")]), "_q": C.point_segment_distance(*[F.col(c) for c in ("x2", "y2", "s_x1", "s_y1", "s_x2", "s_y2")]),
                        "_r": C.point_segment_distance(*[F.col(c) for c in ("s_x1", "s_y1", "x1", "y1", "x2", "y2")]), "_s": C.point_segment_distance(*[F.col(c) for c in ("s_x2", "s_y2", "x1", "y1", "x2", "y2")])})
     xy = lambda i, p="": (F.col(f"{p}x{i}"), F.col(f"{p}y{i}"))
