@@ -1,12 +1,14 @@
 """Quality classifier: interpolated modified Kneser-Ney trigrams of trusted text.
 
-The words are reduced to shapes (``shapes``), so a model has some ten thousand trigrams
-however large the corpus is, and one document a few dozen distinct ones.  One model a
-language is counted from all trusted documents with grouped sums; probabilities
-are joined to the distinct trigrams of the corpus order by order; documents get their
-perplexity from a join of their counts with these, sharded so that a trigram that
-every document has does not meet in one task.  The threshold of a language is a
-quantile of the perplexities of its trusted documents.
+A document is judged by two models of its language: one of the words themselves and one
+of their shapes (``shapes``).  They are counted from all trusted documents with grouped
+sums; probabilities are joined to the distinct trigrams of the corpus order by order;
+documents get their perplexity from a join of their counts with these, in which trigrams
+of very many documents are dealt to several shards.
+
+A model of words knows the documents it learned from by heart, so thresholds come from
+held-out text: the trusted documents are cut in two by their ids, each half is judged by
+models of the other, and the threshold is a quantile of these perplexities.
 """
 
 from __future__ import annotations
@@ -17,25 +19,25 @@ from pyspark.sql import functions as F
 
 from scanloom.llm import common
 from scanloom.llm.common import text_of
-from scanloom.llm.shapes import trigrams
-from scanloom.session import cut
+from scanloom.llm.shapes import tokens, trigrams, word_tokens
+from scanloom.session import cut, drop
 
-#: Share of a language's trusted documents that its threshold keeps.
+#: Share of a language's trusted documents that its thresholds keep.
 QUANTILE = 0.99
-#: Shards of the join of document counts with log-probabilities.
-SHARDS = 8
+#: Documents of one trigram that meet in one shard of the join with log-probabilities.
+HOT = 4096
 #: Least discount: few counts can give none at all, which would leave no mass for the unseen.
 LEAST = 0.1
 
 
-def document_grams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def document_grams(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", of=word_tokens) -> DataFrame:
     """doc_id, lang, g (trigrams "x y z"), k (their counts) of every row."""
     common.small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), text_of(text_col).alias("text"))
 
     def run(batches):
         for b in batches:
-            found = [trigrams(t.as_py()) for t in b.column(2)]
+            found = [trigrams(t.as_py(), of) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([[" ".join(g) for g in f] for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
                                              names=["doc_id", "lang", "g", "k"])
 
@@ -90,27 +92,63 @@ def _words(df: DataFrame, *more: str) -> DataFrame:
     return df.select("lang", w[0].alias("x"), w[1].alias("y"), w[2].alias("z"), *more)
 
 
-def classify(df: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", shards: int = SHARDS) -> DataFrame:
-    """doc_id, lang, n_tokens, perplexity, threshold, kept: one row for each id and language.
+def perplexities(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity of ``grams`` under the models of ``counts``."""
+    seen = cut(_pairs(grams).groupBy("lang", "g").agg(F.count("*").alias("docs")), "seen")
+    hot = cut(seen.filter(F.col("docs") > HOT).select("lang", "g", F.ceil(F.col("docs") / HOT).cast("int").alias("parts")), "hot")
+    logp = log_probabilities(_words(seen), counts).select("lang", F.concat_ws(" ", "x", "y", "z").alias("g"), "logp")
+    parts = F.coalesce("parts", F.lit(1))
+    logp = cut(logp, "logp").join(common.sided(hot), ["lang", "g"], "left").withColumn("shard", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    own = _pairs(grams).join(common.sided(hot), ["lang", "g"], "left").withColumn("shard", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).drop("parts")
+    scored = own.join(logp.hint("merge"), ["lang", "g", "shard"]).groupBy("doc_id", "lang").agg(F.sum("k").alias("n_tokens"), F.sum(F.col("k") * F.col("logp")).alias("s"))
+    out = cut(scored.select("doc_id", "lang", "n_tokens", F.exp(-F.col("s") / F.col("n_tokens")).alias("perplexity")), "scored")
+    drop(seen)
+    return out
+
+
+def _judged(df: DataFrame, good: DataFrame, quantile: float, of, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity, threshold under the model of one kind of tokens."""
+    grams = cut(document_grams(df, id_col, text_col, lang_col, of), "grams")
+    learned = cut(grams.join(good.hint("merge"), "doc_id", "left_semi"), "learned")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("string")
+    other = F.when(half == "0", "1").otherwise("0")
+
+    def model(rows, name):
+        return rows.withColumn("lang", F.concat_ws("\x1f", name, "lang"))
+
+    def counted(rows):
+        return _words(_pairs(rows).groupBy("lang", "g").agg(F.sum("k").alias("n")), "n")
 
-    ``trusted(doc_id)`` names the documents that the model learns from, all of them.
+    scored = perplexities(grams, cut(counted(learned), "counts"))
+    held = perplexities(model(learned, half), cut(counted(model(learned, other)), "halves"))
+    lang = F.expr("substring(lang, 3)")
+    whole = scored.join(good.hint("merge"), "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("t0"))
+    held = held.groupBy(lang.alias("lang")).agg(F.percentile_approx("perplexity", quantile, 10000).alias("t1"))
+    limits = cut(whole.join(held, "lang", "left").select("lang", F.coalesce("t1", "t0").alias("threshold")), "limits")
+    drop(grams, learned)
+    return scored.join(limits, "lang", "left")
+
+
+def classify(df: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity, threshold (of words), form_perplexity,
+    form_threshold (of shapes), kept: one row for each id and language.
+
+    ``trusted(doc_id)`` names the documents that the models learn from, all of them; both
+    thresholds together keep the share ``quantile`` of them at least.
     Rows of one id and language are judged as one text.  Null texts count as empty (an end mark
     alone, n_tokens 1); null languages are a language of their own (empty name); null
     ids are judged together and are never trusted; a language without trusted text
-    has no threshold and is kept.  An empty table gives no rows; other columns are not
+    has no threshold and is kept; one whose trusted documents are all in one half takes their
+    own perplexities.  An empty table gives no rows; other columns are not
     read."""
     good = trusted.select(F.col("doc_id")).filter(F.col("doc_id").isNotNull()).distinct()
-    grams = cut(document_grams(df, id_col, text_col, lang_col), "grams")
-    counts = cut(_words(_pairs(grams.join(good.hint("merge"), "doc_id", "left_semi")).groupBy("lang", "g").agg(F.sum("k").alias("n")), "n"), "counts")
-    seen = _pairs(grams).select("lang", "g").distinct()
-    logp = log_probabilities(_words(seen), counts).select("lang", F.concat_ws(" ", "x", "y", "z").alias("g"), "logp")
-    logp = cut(logp, "logp").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    own = _pairs(grams).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    scored = own.join(logp.hint("merge"), ["lang", "g", "shard"]).groupBy("doc_id", "lang").agg(F.sum("k").alias("n_tokens"), F.sum(F.col("k") * F.col("logp")).alias("s"))
-    scored = cut(scored.select("doc_id", "lang", "n_tokens", F.exp(-F.col("s") / F.col("n_tokens")).alias("perplexity")), "scored")
-    limits = cut(scored.join(good.hint("merge"), "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")), "limits")
-    out = scored.join(limits, "lang", "left")
-    return out.select("doc_id", "lang", "n_tokens", "perplexity", "threshold", (F.col("threshold").isNull() | F.col("perplexity").isNull() | (F.col("perplexity") <= F.col("threshold"))).alias("kept"))
+    each = 1 - (1 - quantile) / 2
+    words = _judged(df, good, each, word_tokens, id_col, text_col, lang_col)
+    form = _judged(df, good, each, tokens, id_col, text_col, lang_col)
+    form = form.select(F.col("doc_id").alias("sl_id"), F.col("lang").alias("sl_lang"), F.col("perplexity").alias("form_perplexity"), F.col("threshold").alias("form_threshold"))
+    out = words.join(form, F.col("doc_id").eqNullSafe(F.col("sl_id")) & (F.col("lang") == F.col("sl_lang")))
+    within = lambda p, t: F.col(t).isNull() | F.col(p).isNull() | (F.col(p) <= F.col(t))
+    return out.select("doc_id", "lang", "n_tokens", "perplexity", "threshold", "form_perplexity", "form_threshold", (within("perplexity", "threshold") & within("form_perplexity", "form_threshold")).alias("kept"))
 
 
 def keep(df: DataFrame, trusted: DataFrame, **options) -> DataFrame:

@@ -1,14 +1,14 @@
-"""Word-shape tokens for the quality model: compact and alike in every language."""
+"""Word tokens of the quality model, and their shapes: compact and alike in every language."""
 
 from __future__ import annotations
 
 import functools
 from collections import Counter
 
-#: Classes kept of one word; longer shapes are cut there, so the vocabulary stays small.
-SHAPE = 6
 #: Fewest words of a line for its repetition to count.
 LINE_WORDS = 3
+#: Tokens that are no words.
+MARKS = {"<", ">", "/", "~", "="}
 
 
 @functools.lru_cache(maxsize=65_536)
@@ -19,16 +19,12 @@ def shape(word: str) -> str:
     for ch in word:
         k = "a" if ch.islower() else "A" if ch.isupper() else "o" if ch.isalpha() else "0" if ch.isdigit() else ch if "!" <= ch <= "~" else "?"
         if k != last:
-            if len(out) == SHAPE:
-                break
             out.append(k)
             last = k
     return "".join(out)
 
 
-def tokens(text: str) -> list[str]:
-    """Shapes of all words; ``=`` for a word equal to the one before it, ``~`` for
-    each word of a line that the text had before, ``/`` after each line."""
+def _marked(text: str, token) -> list[str]:
     out, seen, before = [], set(), None
     for line in text.split("\n"):
         words = line.split()
@@ -39,13 +35,30 @@ def tokens(text: str) -> list[str]:
         else:
             seen.add(line)
             for w in words:
-                out.append("=" if w == before else shape(w))
+                out.append("=" if w == before else token(w))
+                before = w
                 before = w
         out.append("/")
     return out
 
 
-def trigrams(text: str) -> Counter:
+def tokens(text: str) -> list[str]:
+    """Shapes of all words; ``=`` for a word equal to the one before it, ``~`` for
+    each word of a line that the text had before, ``/`` after each line."""
+    return _marked(text, shape)
+
+
+def word(w: str) -> str:
+    """The word itself; one that reads like a mark has a backslash before it."""
+    return "\\" + w if w in MARKS or w[0] == "\\" else w
+
+
+def word_tokens(text: str) -> list[str]:
+    """As ``tokens``, with the words themselves."""
+    return _marked(text, word)
+
+
+def trigrams(text: str, of=word_tokens) -> Counter:
     """Counts of "x y z" over the tokens, with two start marks and one end mark."""
-    t = ["<", "<", *tokens(text), ">"]
+    t = ["<", "<", *of(text), ">"]
     return Counter(zip(t, t[1:], t[2:]))

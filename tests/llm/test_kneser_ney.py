@@ -72,3 +72,27 @@ def test_odd_inputs(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {1, 3, 4, 5, None}
     assert K.classify(df.filter("false"), spark.createDataFrame([(1,)], "doc_id bigint")).collect() == []
     assert all(r.kept for r in K.classify(df, spark.createDataFrame([], "doc_id bigint")).collect())
+
+
+def test_words_not_only_their_shapes(spark):
+    """Shuffled words and words of another vocabulary have good shapes and are still rejected."""
+    import random
+    rnd = random.Random(4)
+    vocab = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(2, 9))) for _ in range(200)]
+    after = {w: rnd.sample(vocab, 3) for w in vocab}
+
+    def prose():
+        out = [rnd.choice(vocab)]
+        while len(out) < 120:
+            out.append(rnd.choice(after[out[-1]]))
+        return out
+
+    def salad(words):
+        return " ".join(rnd.sample(words, len(words)))
+    foreign = dict(zip(vocab, ("q" + w[::-1] for w in vocab)))
+    rows = [(i, " ".join(prose()), "en") for i in range(300)]
+    rows += [(1000 + i, salad(prose()), "en") for i in range(40)] + [(2000 + i, " ".join(foreign[w] for w in prose()), "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.kept for r in K.classify(df, df.filter("doc_id < 200").select("doc_id")).collect()}
+    assert sum(got[i] for i in range(200, 300)) >= 95
+    assert not any(got[i] for i in got if i >= 1000)
