@@ -91,3 +91,26 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0) for r in P.near_dedup(spark, docs, SF).collect()) == [0, 1, 3]
     for _, stage in P.STAGES:
         assert stage(spark, docs.filter("false"), SF).collect() == []
+
+
+def test_near_dedup_by_similarity(spark):
+    """Pairs at 0.80-0.83 are found, pairs at 0.70-0.75 stay, whatever their fingerprints say."""
+    import random
+    rnd = random.Random(6)
+    rows, high, low = [], [], []
+    for i in range(240):
+        want, n = (rnd.uniform(0.805, 0.825), high) if i % 2 else (rnd.uniform(0.70, 0.75), low)
+        w = [f"w{rnd.randrange(10**9)}" for _ in range(rnd.randrange(300, 900))]
+        v, sets = list(w), lambda x: {tuple(x[k:k + 5]) for k in range(len(x) - 4)}
+        # the tail is replaced until the similarity is as wanted
+        k = round((len(w) - 4) * (1 - want) / (1 + want))
+        v[len(v) - k:] = [f"v{rnd.randrange(10**9)}" for _ in range(k)]
+        a, b = sets(w), sets(v)
+        j = len(a & b) / len(a | b)
+        assert (j >= 0.8) == bool(i % 2)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        n.append(2 * i + 1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {r.doc_id for r in P.near_dedup(spark, docs, "").collect()}
+    assert all(i in left for i in low) and all(2 * i in left for i in range(240))
+    assert sum(i not in left for i in high) >= 0.9 * len(high)
