@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scanloom.llm import extendible
 from scanloom.llm.common import text_of
+from scanloom.session import cut
 
 #: Bytes of text a shard may hold.
 SHARD_BYTES = 1 << 20
@@ -17,9 +18,10 @@ def assign(df: DataFrame, limit: int = SHARD_BYTES, keys: tuple[str, ...] = ("do
 
     The hash of ``keys`` picks a bucket of the directory; a bucket over ``limit`` bytes
     of text is split on another bit until it fits.  Rows of one key cannot be told
-    apart by hash bits: where these alone exceed the limit, they are dealt by row
-    number to as many parts as twice the limit would need (``shard_part``, else 0);
-    a single longer text has a shard of its own.  Null keys hash like any value, null
+    apart by these bits: where they alone exceed the limit, such rows are numbered, written
+    with their numbers, and go to a second directory over the hashes of these (shards
+    named ``rows:...``, ``shard_part`` 1, else 0).  shard_bytes and shard_rows are those of the
+    shard; a single longer text has a shard of its own.  Null keys hash like any value, null
     texts have no bytes, an empty table gives no rows.  Existing columns of the added
     names are replaced."""
     added = ["shard", "shard_depth", "shard_part", "shard_bytes", "shard_rows"]
@@ -29,11 +31,19 @@ def assign(df: DataFrame, limit: int = SHARD_BYTES, keys: tuple[str, ...] = ("do
     pages = extendible.grow(sized.select(F.col("sl_h").alias("h"), F.col("sl_w").alias("w")), limit)
     own = base.columns
     found = extendible.look_up(sized.withColumnsRenamed({c: f"in{i}" for i, c in enumerate(own)}), pages, "sl_h")
-    parts = F.greatest(F.lit(1), F.when(F.col("bucket_w") > limit, F.least(F.col("bucket_n"), F.ceil(F.col("bucket_w") * 2 / limit))).otherwise(1))
-    return found.select(*(F.col(f"in{i}").alias(c) for i, c in enumerate(own)),
-                        F.concat_ws(":", "depth", "bucket").alias("shard"), F.col("depth").alias("shard_depth"),
-                        F.when(parts > 1, F.pmod(F.monotonically_increasing_id(), parts)).otherwise(F.lit(0)).cast("bigint").alias("shard_part"),
-                        F.col("bucket_w").alias("shard_bytes"), F.col("bucket_n").alias("shard_rows"))
+    def named(rows, prefix, part):
+        return rows.select(*(F.col(f"in{i}").alias(c) for i, c in enumerate(own)),
+                           F.concat_ws(":", *prefix, "depth", "bucket").alias("shard"), F.col("depth").alias("shard_depth"),
+                           F.lit(part).cast("bigint").alias("shard_part"), F.col("bucket_w").alias("shard_bytes"), F.col("bucket_n").alias("shard_rows"))
+
+    over = (F.col("bucket_w") > limit) & (F.col("bucket_n") > 1)
+    if all(page.filter(over).isEmpty() for _, page in pages):
+        return named(found, [], 0)
+    # written, so that a row keeps its number when a task runs again
+    rows = cut(found.filter(over).drop("depth", "bucket", "bucket_w", "bucket_n").withColumn("sl_r", F.monotonically_increasing_id()), "rows")
+    rows = rows.withColumn("sl_h", extendible.hex_key(F.md5(F.col("sl_r").cast("string"))))
+    again = extendible.look_up(rows, extendible.grow(rows.select(F.col("sl_h").alias("h"), F.col("sl_w").alias("w")), limit), "sl_h")
+    return named(found.filter(~over), [], 0).unionByName(named(again, [F.lit("rows")], 1))
 
 
 def write(df: DataFrame, root: str, limit: int = SHARD_BYTES, keys: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> None:

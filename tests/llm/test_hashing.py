@@ -56,6 +56,23 @@ def test_shards_odd_inputs(spark, tmp_path):
     assert back.count() == len(rows)
 
 
+def test_shards_of_one_key_fit(spark):
+    """Copies of one id, and null ids, go to shards that fit and report their own bytes and rows."""
+    rows = [(k, "x" * 600) for k in range(20) for _ in range(2)] + [(None, "n" * (i % 400)) for i in range(300)] + [(50, "z" * 3000), (50, "z" * 10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = shards.assign(df, 1000)
+    got = out.collect()
+    size, count, says = Counter(), Counter(), {}
+    for r in got:
+        size[r.shard] += len(r.text)
+        count[r.shard] += 1
+        assert says.setdefault(r.shard, (r.shard_bytes, r.shard_rows)) == (r.shard_bytes, r.shard_rows)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    assert says == {k: (size[k], count[k]) for k in size}
+    assert all(n <= 1000 or count[k] == 1 for k, n in size.items())
+    assert Counter((r.doc_id, r.text, r.shard) for r in got) == Counter((r.doc_id, r.text, r.shard) for r in out.collect())
+
+
 def test_dedup_odd_inputs(spark):
     rows = [(1, None, 1), (2, "", 1), (3, " \t\r\n\x0b\x0c", 1), (4, "a b", 1), (5, "ab", 1), (6, " a b", 1), (7, "a  b ", 1), (8, "a b  ", 1), (None, "q", 1), (9, "q", 1), (None, "z", 1), (10, "r", 1), (10, "r", 1), (11, "L" * 10**6, 1), (12, "L " * 10**6, 1), (-5, "neg", 1), (13, "neg", 1)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, h int")
