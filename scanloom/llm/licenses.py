@@ -1,7 +1,8 @@
 """Licence scans: known sentences in the text, then ordered rules over their identifiers.
 
-Texts are cut into sentences in two ways: line by line, and across the lines of a
-paragraph (licence texts are often wrapped).  A sentence is normalised to lower-case
+Texts are cut into sentences in three ways: line by line, across the lines of a
+paragraph (licence texts are often wrapped), and as notices: without the signs of comments,
+SPDX tags whole, no cut after "v." and none between "at" and an address below.  A sentence is normalised to lower-case
 ASCII letters and digits with single spaces and looked up among the known ones; a rule
 is a sequence of identifiers that must occur in this order, others may stand between.
 Everything is a column expression on one row; nothing is shuffled.
@@ -59,6 +60,15 @@ SENTENCES = [
     "spdx license identifier gpl 3 0 or later",
     "spdx license identifier bsd 3 clause",
     "all rights reserved",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "this library is free software",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
 ]
 
 #: Ordered rules: (licence, class, identifiers in order).  A rule is left out where an
@@ -99,7 +109,21 @@ RULES = [
     ("CC-BY-4.0", "permissive", (36,)),
     ("CC-BY-SA-4.0", "copyleft", (37,)),
     ("CC-BY-NC-4.0", "non-commercial", (38,)),
+    ("GPL-3.0-or-later", "copyleft", (15, 44)),
+    ("GPL-2.0-or-later", "copyleft", (15, 45)),
+    ("LGPL-3.0-or-later", "copyleft", (15, 46)),
+    ("LGPL-2.1-or-later", "copyleft", (15, 47)),
+    ("AGPL-3.0-or-later", "copyleft", (15, 48)),
+    ("LGPL-3.0-or-later", "copyleft", (49, 19, 17)),
+    ("LGPL-2.1-or-later", "copyleft", (49, 19, 20)),
+    ("LGPL-3.0-or-later", "copyleft", (49, 46)),
+    ("LGPL-2.1-or-later", "copyleft", (49, 47)),
+    ("Apache-2.0", "permissive", (2, 3, 50, 5, 6)),
+    ("MPL-2.0", "copyleft", (26, 51)),
+    ("ISC", "permissive", (52,)),
 ]
+#: Sentences and rules that the SQL text has; it has only the first two cuts.
+IN_SQL = (43, 35)
 
 
 def identifiers(text: Column, wrapped: bool) -> Column:
@@ -108,6 +132,18 @@ def identifiers(text: Column, wrapped: bool) -> Column:
         marked = F.regexp_replace(text, r"([.!?;:])\s+|\n\s*\n", "$1\x01")
     else:
         marked = F.regexp_replace(F.regexp_replace(text, r"([.!?;:])\s+", "$1\x01"), r"\n", "\x01")
+    return _found(marked)
+
+
+def notices(text: Column) -> Column:
+    """As ``identifiers``, of the text cut as notices."""
+    bare = F.regexp_replace(text, r"(?m)^[ \t]*(?:/\*+|//+|#+|\*+(?!\w)|;+|--+|%+)", "")
+    tags = F.regexp_replace(bare, r"(?i)(SPDX-License-Identifier:[^\n]*)", "\x01$1\x01")
+    marked = F.regexp_replace(tags, r"(?i)(?<!\bv)(?<!SPDX-License-Identifier)([.!?;:])\s+|\n\s*\n(?!\s*https?://)", "$1\x01")
+    return _found(marked)
+
+
+def _found(marked: Column) -> Column:
     known = F.array(*map(F.lit, SENTENCES))
     place = lambda s: F.array_position(known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
     found = F.filter(F.transform(F.split(marked, "\x01"), place), lambda i: i > 0)
@@ -130,8 +166,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     One row per row; texts without known sentences have empty strings; null texts count
     as empty; other columns are not read; whole texts are read, whatever their length."""
     rows = df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.select("doc_id", identifiers(F.col("text"), False).alias("lines"), identifiers(F.col("text"), True).alias("wrapped"))
-    hit = [F.col("lines").like(_pattern(r[2])) | F.col("wrapped").like(_pattern(r[2])) for r in RULES]
+    rows = rows.select("doc_id", identifiers(F.col("text"), False).alias("lines"), identifiers(F.col("text"), True).alias("wrapped"), notices(F.col("text")).alias("notices"))
+    hit = [F.col("lines").like(_pattern(r[2])) | F.col("wrapped").like(_pattern(r[2])) | F.col("notices").like(_pattern(r[2])) for r in RULES]
     flags = rows.withColumn("hits", F.array(*hit))
     held = [F.when(F.col("hits")[k] & ~F.array_contains(F.array(F.lit(False), *(F.col("hits")[j] for j in _absorbed(k))), True), F.lit(k)) for k in range(len(RULES))]
     rules = flags.withColumn("rules", F.array_compact(F.array(*held)))
@@ -141,15 +177,16 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def _sql() -> str:
-    """DuckDB's text of ``scan``."""
-    known = "[" + ", ".join(f"'{s}'" for s in SENTENCES) + "]"
+    """DuckDB's text of ``scan``, without the cut as notices."""
+    sentences, rules = SENTENCES[:IN_SQL[0]], RULES[:IN_SQL[1]]
+    known = "[" + ", ".join(f"'{s}'" for s in sentences) + "]"
     ids = lambda m: f"list_filter(list_transform(string_split({m}, chr(1)), lambda s: coalesce(list_position({known}, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), 0)), lambda i: i > 0)"
     seq = lambda m: f"array_to_string(list_transform({ids(m)}, lambda i: '<' || i || '>'), '')"
     lines = r"replace(regexp_replace(t, '([.!?;:])\s+', '\1' || chr(1), 'g'), chr(10), chr(1))"
     wrapped = r"regexp_replace(t, '([.!?;:])\s+|\n\s*\n', '\1' || chr(1), 'g')"
-    hits = ", ".join(f"lines LIKE '{_pattern(r[2])}' OR wrapped LIKE '{_pattern(r[2])}'" for r in RULES)
-    held = ", ".join(f"CASE WHEN h[{k + 1}]" + "".join(f" AND NOT h[{j + 1}]" for j in _absorbed(k)) + f" THEN {k} END" for k in range(len(RULES)))
-    name = lambda i: "[" + ", ".join(f"'{r[i]}'" for r in RULES) + "]"
+    hits = ", ".join(f"lines LIKE '{_pattern(r[2])}' OR wrapped LIKE '{_pattern(r[2])}'" for r in rules)
+    held = ", ".join(f"CASE WHEN h[{k + 1}]" + "".join(f" AND NOT h[{j + 1}]" for j in _absorbed(k)) + f" THEN {k} END" for k in range(len(rules)))
+    name = lambda i: "[" + ", ".join(f"'{r[i]}'" for r in rules) + "]"
     once = lambda i: f"coalesce((SELECT string_agg(v, ',' ORDER BY p) FROM (SELECT v, min(k) AS p FROM (SELECT unnest(rules) AS k, unnest(list_transform(rules, lambda r: {name(i)}[r + 1])) AS v) GROUP BY v)), '')"
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS (SELECT doc_id, {seq(lines)} AS lines, {seq(wrapped)} AS wrapped FROM d),
     f AS (SELECT *, [{hits}] AS h FROM s), r AS (SELECT *, list_filter([{held}], lambda k: k IS NOT NULL) AS rules FROM f)
