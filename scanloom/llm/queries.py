@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, licenses, mixing, shards, simhash, token_counts
+from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, licenses, merkle, mixing, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -82,3 +82,8 @@ def op10(spark, sf_dir):
 @query("op5_html_mincut")
 def op5(spark, sf_dir):
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op11_merkle_manifest", merkle.SQL)
+def op11(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.third_of_ids).drop("lang")
