@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, licenses, merkle, mixing, shards, simhash, token_counts
+from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, lang_id, licenses, merkle, mixing, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -87,3 +87,8 @@ def op5(spark, sf_dir):
 @query("op11_merkle_manifest", merkle.SQL)
 def op11(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.third_of_ids).drop("lang")
+
+
+@query("op13_language_id")
+def op13(spark, sf_dir):
+    return lang_id.predict(table(spark, sf_dir, "documents"))
