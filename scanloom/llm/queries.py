@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, lang_id, licenses, merkle, mixing, shards, simhash, token_counts
+from scanloom.llm import binary_records, decontam, exact_dedup, html_text, kneser_ney, lang_id, licenses, merkle, mixing, negatives, shards, simhash, token_counts
 from scanloom.llm.common import table
 from scanloom.session import tune
 
@@ -92,3 +92,8 @@ def op11(spark, sf_dir):
 @query("op13_language_id")
 def op13(spark, sf_dir):
     return lang_id.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives", negatives.SQL)
+def op12(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
