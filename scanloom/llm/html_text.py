@@ -5,8 +5,10 @@ block's place in the page and its text gives the cost of calling it content or
 boilerplate; these costs are the capacities from the source and to the sink.  Smoothness edges
 between blocks that follow each other, and between blocks of one parent element,
 make unlike labels cost something.  The minimum cut, found by maximum flow, is the labelling
-of least total cost.  Elements that never show as article text (menus, forms, scripts, ...)
-have an infinite cost of being content.
+of least total cost.  Elements that never show as article text (menus, scripts, controls, ...)
+have an infinite cost of being content, and so have elements whose name or role says that they
+are not the article, unless they hold it: an element around (nearly) all text that is left, or
+around an article and most of that text, is only a wrapper.
 """
 
 from __future__ import annotations
@@ -23,19 +25,24 @@ from scanloom.llm import common
 from scanloom.llm.common import text_of
 
 #: Fixed values of HTML: elements whose text is not markup, elements without an end tag, and inline elements.
-RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
+RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math semantics annotation annotation-xml mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mspace mstyle mpadded mphantom mtable mtr mtd".split())
 #: Start tags that end an open element of these names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre search section summary table ul".split())
 #: Elements that are never article text, roles, and words of class or id that say the same.
-NEVER = set("head script style noscript template iframe object embed svg canvas math audio video map nav footer aside form button select textarea input dialog menu search title noembed noframes xmp datalist".split())
+NEVER = set("head script style noscript template iframe object embed svg canvas audio video map nav footer aside button select textarea input menu search title noembed noframes xmp datalist".split())
+WRAPS = {"form", "dialog"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar", "tablist"}
 STRONG = set("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar side comment comments commentlist disqus reply replies respond discussion breadcrumb breadcrumbs pagination pager menu navbar nav navigation footer masthead topbar toolbar share sharing social related recommended recommendations widget skip".split())
 GOOD = set("article content post entry story body main text".split())
-#: Words that turn a name into a statement about the page, such as has-sidebar.
-ABOUT = {"has", "with", "without", "no"}
+#: Words that turn a name into a statement about the page, such as has-sidebar or comments-open.
+ABOUT = {"has", "with", "without", "no", "open", "closed", "enabled", "disabled", "on", "off"}
+#: Names of readers' comments: such an element is a wrapper only if nothing is left outside it.
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion"}
+#: Share of the text left of an element that is only a wrapper, and if it has an article in it.
+NEARLY, MOST = 0.95, 0.5
 HARD = 1e9
 #: Weights of the classifier, and of unlike labels of neighbours and of blocks of one parent.
 W = {"bias": -0.8, "article": 3.0, "main": 2.0, "good_name": 2.0, "heading": 0.5, "paragraph": 1.0, "list": 0.2, "words": 0.08, "most_words": 2.4, "stop": 0.6, "links": -4.0, "header": -2.5}
@@ -51,21 +58,54 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class Block:
-    __slots__ = ("parts", "links", "hard", "article", "main", "good", "header", "tag", "parent")
+    __slots__ = ("parts", "links", "hard", "article", "main", "good", "header", "tag", "parent", "marks")
 
     def __init__(self, frame):
         self.parts, self.links = [], 0
-        self.hard, self.article, self.main, self.good, self.header, self.tag, self.parent = frame[1:]
+        self.hard, self.article, self.main, self.good, self.header, self.tag, self.parent, self.marks = frame[1:9]
+
+
+def _release(found: list[tuple[str, Block]], comments: set[int]) -> None:
+    """Make the blocks hard that are in a marked element which is not only a wrapper.
+
+    Marked elements are a tree, looked at from the inside (a later number is never around
+    an earlier one).  What an element holds is its text that is not hard, what is left outside
+    is the text directly in the marked elements around it or in none."""
+    held: dict[int, int] = {-1: 0}
+    article: dict[int, bool] = {}
+    around: dict[int, tuple] = {}
+    for text, b in found:
+        for k, m in enumerate(b.marks):
+            around.setdefault(m, b.marks[:k])
+        if not b.hard:
+            m = b.marks[-1] if b.marks else -1
+            held[m] = held.get(m, 0) + len(text)
+            article[m] = article.get(m, False) or b.article or b.main
+    kept = set()
+    for m in sorted(around, reverse=True):
+        own = held.get(m, 0)
+        left = held[-1] + sum(held.get(x, 0) for x in around[m])
+        share = own / max(1, own + left)
+        if own and (not left or article[m] and share >= MOST or m not in comments and share >= NEARLY):
+            up = around[m][-1] if around[m] else -1
+            held[up] = held.get(up, 0) + own
+            article[up] = article.get(up, False) or article[m]
+        else:
+            kept.add(m)
+    for _, b in found:
+        b.hard = b.hard or not kept.isdisjoint(b.marks)
 
 
 def blocks(page: str) -> list[tuple[str, Block]]:
     """(text, block) of all blocks that have text, in page order.
 
     A frame of the stack is (element, hard, in article, in main, good name, in header, block
-    tag, number of the parent block element)."""
-    stack: list[tuple] = [("", False, False, False, False, False, "", 0)]
+    tag, number of the parent block element, numbers of the marked elements around, block
+    that goes on behind an inline element that is set apart)."""
+    stack: list[tuple] = [("", False, False, False, False, False, "", 0, (), None)]
     out: list[Block] = []
-    state = {"block": None, "n": 0, "links": 0}
+    comments: set[int] = set()
+    state = {"block": None, "n": 0, "links": 0, "marks": 0}
 
     def put(text: str):
         if not text or stack[-1][1] and text.isspace():
@@ -82,6 +122,8 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             if stack[k][0] in names:
                 if any(f[0] not in INLINE for f in stack[k:]):
                     state["block"] = None
+                else:
+                    state["block"] = next((f[9] for f in stack[k:] if f[9] is not None), state["block"])
                 state["links"] -= sum(f[0] == "a" for f in stack[k:])
                 del stack[k:]
                 return
@@ -128,22 +170,33 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             continue
         a = _attributes(m[3]) if m[3].strip() else {}
         top = stack[-1]
-        words = {w.lower() for w in _NAMES.findall(" ".join((a.get("class", ""), a.get("id", ""))))} if "class" in a or "id" in a else set()
+        names = " ".join((a.get("class", ""), a.get("id", ""))).split() if "class" in a or "id" in a else ()
+        each = [{w.lower() for w in _NAMES.findall(x)} for x in names]
+        words = set().union(*each)
         in_article = top[2] or name == "article" or a.get("itemprop") == "articleBody"
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
-        hard = top[1] or name in NEVER or hidden or a.get("role", "").lower() in ROLES or bool(words & STRONG and not words & ABOUT) and name not in ("html", "body", "article", "main")
+        hard = top[1] or name in NEVER or hidden
+        said = [x & STRONG for x in each if x & STRONG and not x & ABOUT] if name not in ("html", "body", "article", "main") else []
         inline = name in INLINE
-        if not inline:
-            state["block"] = None
-            state["n"] += 1
         banner = name == "header" or "header" in words and not words & GOOD
-        header = top[5] or banner
-        stack.append((name, hard or (banner and not in_article), in_article, top[3] or name == "main" or a.get("role") == "main", top[4] or bool(words & GOOD), header, top[6] if inline else name, top[7] if inline else state["n"]))
-        if inline and hard and not top[1]:
+        marks = top[8]
+        if said or name in WRAPS or a.get("role", "").lower() in ROLES or banner and not in_article:
+            marks += (state["marks"],)
+            if any(x & COMMENTS for x in said):
+                comments.add(state["marks"])
+            state["marks"] += 1
+        apart = inline and (hard != top[1] or marks != top[8])
+        resume = state["block"] if apart else None
+        if not inline or apart:
             state["block"] = None
+        if not inline:
+            state["n"] += 1
+        stack.append((name, hard, in_article, top[3] or name == "main" or a.get("role") == "main", top[4] or bool(words & GOOD), top[5] or banner, top[6] if inline else name, top[7] if inline else state["n"], marks, resume))
         if name == "a":
             state["links"] += 1
-    return [(t, b) for t, b in ((" ".join("".join(b.parts).split()), b) for b in out) if t]
+    found = [(t, b) for t, b in ((" ".join("".join(b.parts).split()), b) for b in out) if t]
+    _release(found, comments)
+    return found
 
 
 def costs(found: list[tuple[str, Block]]) -> list[float]:

@@ -63,3 +63,45 @@ def test_odd_rows(spark):
     got = H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "Some text here.", 15), (1, "", 0), (1, "", 0)]
     assert H.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def _wrapped(page, start, end):
+    import re
+    body, stop = re.search(r"<body[^>]*>", page), page.rfind("</body>")
+    return page[:body.end()] + start + page[body.end():stop] + end + page[stop:] if body and stop > 0 else start + page + end
+
+
+def test_wrappers_of_the_whole_page_change_nothing(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    kinds = [("<form>", "</form>"), ("<dialog>", "</dialog>"), ('<div role="dialog">', "</div>"), ('<div class="page-widget"><form id="related-main">', "</form></div>")]
+    kinds += [(f'<div class="{w}">', "</div>") for w in sorted(H.STRONG)]
+    for page in pages:
+        want = H.extract(page)[0]
+        for kind in kinds:
+            assert H.extract(_wrapped(page, *kind))[0] == want, kind
+
+
+def test_wrappers_around_the_article_and_others():
+    p = "<p>The first of some plain sentences of the article, long enough.</p><p>And the second one, which is about as long as it.</p>"
+    text = "The first of some plain sentences of the article, long enough.\n\nAnd the second one, which is about as long as it."
+    for name in ("elementor-widget", "post-share-enabled", "comments-open", "related-article main"):
+        assert H.extract(f'<body><div class="{name}">{p}</div></body>')[0] == text
+        assert H.extract(f'<body><nav>Home News</nav><div class="{name}"><article>{p}</article></div><footer>Legal</footer></body>')[0] == text
+    side = '<div class="widget"><p>Some other text of the page, of a widget.</p></div>'
+    assert H.extract(f"<body><form>{p}{side}</form></body>")[0] == text
+    assert H.extract(f"<body><article>{p}</article><div class='comments'>" + "<p>I do not agree with any of this at all, said a reader.</p>" * 30 + "</div></body>")[0] == text
+    assert H.extract(f"<body>{p}<form><p>Your name and your address, please, for our letters.</p><input></form></body>")[0] == text
+
+
+def test_formulas_stay_in_their_paragraph():
+    page = "<article><p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding='t'>x=1</annotation></math> hold for all of it.</p></article>"
+    assert H.extract(page)[0] == "Let x=1 hold for all of it."
+    assert H.extract("<article><p>One <span class='share'>tweet this</span> two three four five.</p></article>")[0] == "One two three four five."
+
+
+def test_many_marked_elements_take_little_time():
+    import time
+    page = "<body><form>" + "<div class='widget'><p>a b c d e f g.</p></div>" * 30_000 + "</form></body>"
+    began = time.time()
+    H.extract(page)
+    assert time.time() - began < 30
