@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from scanloom.functions import columns as C
 from scanloom.operators import ordered as O
+from scanloom.operators import rtree as R
 from scanloom.operators import spatial as S
 from scanloom.session import cut, drop
 
@@ -153,37 +154,49 @@ def within(points: DataFrame, edges: DataFrame, g: float = 8.0) -> DataFrame:
     return tested.union(whole.select("point_id", "poly_id")).distinct()
 
 
-def _laid(df: DataFrame, g: float, pad: int) -> DataFrame:
-    """Cells along a segment (x1, y1, x2, y2), sampled at half a cell, widened by ``pad`` cells."""
-    n = F.greatest(F.lit(1), F.ceil(C.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) / (g / 2)).cast("int"))
-    d = df.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n"))))
-    u = F.col("_k") / F.col("_n")
-    d = d.withColumns({"ix": C.cell(F.col("x1") + (F.col("x2") - F.col("x1")) * u, g), "iy": C.cell(F.col("y1") + (F.col("y2") - F.col("y1")) * u, g)}).drop("_n", "_k").distinct()
-    return S.with_offsets(d, ["ix", "iy"], S.square(pad)).distinct() if pad else d
+def _distances(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and ``d``, the distance of the segments (x1, y1)-(x2, y2) and (s_x1, s_y1)-(s_x2, s_y2):
+    0 where they cross or touch within 1e-10, else the least distance of an end to the other segment.
+
+    Steps are columns of their own and free of nulls and divisions, so that the generated
+    code stays below the size that the JVM compiles."""
+    c = lambda n: F.coalesce(F.col(n), F.lit(0.0))
+    keep = list(keep)
+    m = pairs.select(*keep, *[(c(f"{a}2") - c(f"{a}1")).alias(f"d{a[-1]}" if a in "xy" else f"e{a[-1]}") for a in ("x", "y", "s_x", "s_y")], *[(c(f"s_{a}1") - c(f"{a}1")).alias(f"r{a}") for a in "xy"])
+    f = F.col
+    cross = lambda a, b: f(f"{a}x") * f(f"{b}y") - f(f"{a}y") * f(f"{b}x")
+    dot = lambda a, b: f(f"{a}x") * f(f"{b}x") + f(f"{a}y") * f(f"{b}y")
+    m = m.select("*", cross("d", "e").alias("de_"), cross("d", "r").alias("dr_"), cross("e", "r").alias("er_"), dot("d", "e").alias("de"), dot("d", "r").alias("dr"), dot("e", "r").alias("er"),
+                 *[F.when(dot(k, k) > 1e-12, F.coalesce(F.try_divide(F.lit(1.0), dot(k, k)), F.lit(0.0))).otherwise(0.0).alias(f"i{k}") for k in "de"])
+    clamp = lambda u: F.greatest(F.lit(0.0), F.least(F.lit(1.0), u))
+    m = m.select("*", clamp(f("dr") * f("id")).alias("u1"), clamp((f("dr") + f("de")) * f("id")).alias("u2"), clamp(-f("er") * f("ie")).alias("u3"), clamp((f("de") - f("er")) * f("ie")).alias("u4"))
+    off = {"1": lambda a: f(f"r{a}") - f("u1") * f(f"d{a}"), "2": lambda a: f(f"r{a}") + f(f"e{a}") - f("u2") * f(f"d{a}"), "3": lambda a: f(f"r{a}") + f("u3") * f(f"e{a}"), "4": lambda a: f(f"d{a}") - f(f"r{a}") - f("u4") * f(f"e{a}")}
+    m = m.select(*keep, *[g(a).alias(f"o{k}{a}") for k, g in off.items() for a in "xy"], ((f("dr_") * (f("dr_") + f("de_")) < 0) & (f("er_") * (f("er_") + f("de_")) < 0)).alias("x"))
+    m = m.select(*keep, "x", F.least(*[f(f"o{k}x") * f(f"o{k}x") + f(f"o{k}y") * f(f"o{k}y") for k in "1234"]).alias("q"))
+    return m.select(*keep, F.when(f("x") | (f("q") <= 1e-20), 0.0).otherwise(F.sqrt("q")).alias("d"))
 
 
 def min_distance(lines: DataFrame, segments: DataFrame, max_d: float, polygons: DataFrame | None = None) -> DataFrame:
     """Smallest distance of each line to the segments, up to ``max_d`` (lines
     further away are absent); 0 where it touches or lies inside a polygon.
-    lines: line_id, x1, y1, x2, y2; segments: x1, y1, x2, y2.
-
-    Cells are at least ``max_d`` wide; two segments within it come into
-    neighbouring cells of their half-cell samples (pad 2)."""
-    g = float(max_d)
-    a = _laid(lines.select("line_id", "x1", "y1", "x2", "y2"), g, 2)
-    b = _laid(segments.select("x1", "y1", "x2", "y2").distinct(), g, 0).select("ix", "iy", *[F.col(c).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")])
-    # boxes further apart than max_d are out before pairs that met in several cells are made one
-    gap = lambda c: F.greatest(F.least(f"{c}1", f"{c}2") - F.greatest(f"s_{c}1", f"s_{c}2"), F.least(f"s_{c}1", f"s_{c}2") - F.greatest(f"{c}1", f"{c}2"))
-    m = a.join(b, ["ix", "iy"]).drop("ix", "iy").filter((gap("x") <= max_d) & (gap("y") <= max_d)).distinct()
-    m = m.withColumns({"_p": C.point_segment_distance(*[F.col(c) for c in ("x1", "y1", "s_x1", "s_y1", "s_x2", "s_y2")]), "_q": C.point_segment_distance(*[F.col(c) for c in ("x2", "y2", "s_x1", "s_y1", "s_x2", "s_y2")]),
-                       "_r": C.point_segment_distance(*[F.col(c) for c in ("s_x1", "s_y1", "x1", "y1", "x2", "y2")]), "_s": C.point_segment_distance(*[F.col(c) for c in ("s_x2", "s_y2", "x1", "y1", "x2", "y2")])})
-    xy = lambda i, p="": (F.col(f"{p}x{i}"), F.col(f"{p}y{i}"))
-    m = m.withColumn("_cross", C.segments_cross(xy(1), xy(2), xy(1, "s_"), xy(2, "s_")))
-    m = m.select("line_id", F.when(F.col("_cross"), 0.0).otherwise(F.least("_p", "_q", "_r", "_s")).alias("d")).filter(F.col("d") <= max_d)
+    lines: line_id, x1, y1, x2, y2 (rows of one id are one line); segments: x1, y1, x2, y2.
+
+    The segments are packed into an R-tree; a line meets those whose boxes can hold its
+    nearest one."""
+    low, high = (lambda c: F.least(f"{c}1", f"{c}2")), (lambda c: F.greatest(f"{c}1", f"{c}2"))
+    items = segments.select("x1", "y1", "x2", "y2").distinct().select(*[F.col(c).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")], low("x").alias("bx1"), low("y").alias("by1"), high("x").alias("bx2"), high("y").alias("by2"))
+    levels = R.build(items)
+    each = lines.select("line_id", "x1", "y1", "x2", "y2", low("x").alias("qx1"), low("y").alias("qy1"), high("x").alias("qx2"), high("y").alias("qy2"))
+    if not levels:
+        m = each.limit(0).select("*", *[F.lit(0.0).alias(f"s_{c}") for c in ("x1", "y1", "x2", "y2")])
+    else:
+        m = R.search(each, levels, "line_id", max_d)
+    m = _distances(m, ["line_id"])
     if polygons is not None:
         ends = lines.select("line_id", F.explode(F.array(*[F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)])).alias("_e")).select(F.col("line_id").alias("point_id"), "_e.*")
         m = m.unionByName(within(ends, polygons).select(F.col("point_id").alias("line_id"), F.lit(0.0).alias("d")))
-    return m.groupBy("line_id").agg(F.min("d").alias("distance"))
+    # A filter before the sum would be pushed below all steps of the distance, as one large expression.
+    return m.groupBy("line_id").agg(F.min("d").alias("distance")).filter(F.col("distance") <= max_d)
 
 
 # --- states and layers -----------------------------------------------------------------
