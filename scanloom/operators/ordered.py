@@ -150,13 +150,13 @@ def asof(left: DataFrame, right: DataFrame, t: str, keys: Sequence[str] = (), pa
 
 
 def order_statistic(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]],
-                    rows_per_split: int | None = None) -> DataFrame:
+                    rows_per_split: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact order statistics: ``{name: n -> 1-based rank}`` per group.
 
     Copies collapse to (value, count) first; with several splits only the split
-    that holds a wanted rank is searched."""
+    that holds a wanted rank is searched.  ``weight`` counts a row that often."""
     rows = df.count()
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = df.groupBy(*keys, value).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
     sp, n = add_split(counts, [value], rows_per_split, rows)
     names = list(ranks)
     if n == 1:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from scanloom.functions import columns as C
 from scanloom.operators import ordered as O
 from scanloom.operators import spatial as S
+from scanloom.session import cut
 
 
 def dedupe_stamps(df: DataFrame, t: str, tie: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -155,6 +156,29 @@ def component_metrics(pairs: DataFrame, rows_per_split: int | None = None) -> Da
     return m.agg(*out)
 
 
+def metrics_report(pairs: DataFrame, rows_per_split: int | None = None) -> DataFrame:
+    """Error, dx and dy statistics over all pairs, by ``segment`` and by cell, in one pass.
+
+    ``pairs``: ``error, dx, dy, segment, cell_ix, cell_iy``.  Values are counted once by
+    (segment, cell, kind, value); the grouping sets are sums of these counts, and the
+    P95 of all sets is read from the same counts by rank, so no set reads the pairs again.
+    ``grouping``: 0 all, 1 segment, 2 cell."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("v")) for k in ("error", "dx", "dy")])).alias("_e")
+    each = pairs.select("segment", "cell_ix", "cell_iy", kinds).select("segment", "cell_ix", "cell_iy", "_e.kind", "_e.v")
+    counts = cut(each.filter(F.col("v").isNotNull()).groupBy("segment", "cell_ix", "cell_iy", "kind", "v").agg(F.count(F.lit(1)).alias("_n")), "histogram")
+    # The value is in every set here, so a set's histogram is as exact as the first.
+    sets = [["kind", "v"], ["kind", "v", "segment"], ["kind", "v", "cell_ix", "cell_iy"]]
+    hist = counts.groupingSets(sets, "kind", "v", "segment", "cell_ix", "cell_iy").agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_g"))
+    hist = hist.withColumn("grouping", F.when(F.col("_g") == 7, 0).when(F.col("_g") == 3, 1).otherwise(2))
+    # Nulls are values of their own and must meet in the join.
+    name = F.concat_ws(",", "kind", "grouping", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("segment", "cell_ix", "cell_iy")])
+    hist = cut(hist.select(name.alias("_set"), "grouping", "kind", "segment", "cell_ix", "cell_iy", "v", F.abs("v").alias("_a"), "_n"), "sets")
+    n = F.sum("_n")
+    base = hist.groupBy("_set", "grouping", "kind", "segment", "cell_ix", "cell_iy").agg(n.alias("count"), (F.sum(F.col("v") * F.col("_n")) / n).alias("signed_mean_m"), (F.sum(F.col("_a") * F.col("_n")) / n).alias("mae_m"), F.sqrt(F.sum(F.col("v") * F.col("v") * F.col("_n")) / n).alias("rmse_m"))
+    p95 = O.order_statistic(hist.select("_set", "_a", "_n"), ["_set"], "_a", {"p95_m": O.nearest_rank(0.95)}, rows_per_split, "_n").drop("n")
+    return base.join(p95, "_set").drop("_set")
+
+
 def matched_pairs(left: DataFrame, right: DataFrame, t: str, max_gap, rows_per_split: int | None = None) -> DataFrame:
     m = asof_interp(left, right, t, max_gap, rows_per_split=rows_per_split).filter("matched")
     m = m.withColumns({"dx": F.col("x") - F.col("ref_x"), "dy": F.col("y") - F.col("ref_y")})

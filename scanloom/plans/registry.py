@@ -39,7 +39,7 @@ def oracle_sql() -> dict[str, str]:
 #: Ordered queries that are registered again with small splits (rows a split), so
 #: that the plan of large inputs is compared at every size.
 SPLIT = {"p05_drop_repeats": 3000, "p06_normalise_livox": 30000, "p09_normalise_velodyne_yaw": 3000, "w14_ring_differences": 3000, "w15_point_labels": 3000, "a02_quantile_ground_seed": 3000,
-         "j01_asof_interpolate": 300, "j05_correction_asof": 300, "a22_error_metrics": 100, "w02_gap_sessions": 300, "w03_state_runs": 40, "w08_gap_bridges": 40, "t01_stable_time_sort": 300,
+         "j01_asof_interpolate": 300, "j05_correction_asof": 300, "a22_error_metrics": 100, "a22_a25_metrics_report": 400, "w02_gap_sessions": 300, "w03_state_runs": 40, "w08_gap_bridges": 40, "t01_stable_time_sort": 300,
          "st07_object_tracks_batch": 4000, "g12_edge_tracks": 150, "s13_point_list": 500}
 
 

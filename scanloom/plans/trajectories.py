@@ -159,6 +159,20 @@ def _(t):
     return rounded(J.error_metrics(g, ["cell_ix", "cell_iy"]), "cell_ix", "cell_iy")
 
 
+RANKED = "round(list_sort(list(abs(v)))[CAST(ceil(0.95*count(*)) AS BIGINT)],6) AS p95_m"
+
+
+@query("a22_a25_metrics_report", PAIRS + f""", s AS (SELECT *, CAST(floor((t_us - (SELECT greatest((SELECT min(t_us) FROM traj_a), (SELECT min(t_us) FROM traj_b))))/86400e6) AS BIGINT) segment, CAST(floor(x/20.0) AS BIGINT) cell_ix, CAST(floor(y/20.0) AS BIGINT) cell_iy FROM pairs),
+ k AS (SELECT segment, cell_ix, cell_iy, unnest(['error', 'dx', 'dy']) kind, unnest([err, dx, dy]) v FROM s)
+SELECT CASE WHEN grouping(segment) = 0 THEN 1 WHEN grouping(cell_ix) = 0 THEN 2 ELSE 0 END AS grouping, kind, segment, cell_ix, cell_iy, count(*) AS count, round(avg(v),6) AS signed_mean_m, round(avg(abs(v)),6) AS mae_m, round(sqrt(avg(v*v)),6) AS rmse_m, {RANKED}
+FROM k GROUP BY GROUPING SETS ((kind), (kind, segment), (kind, cell_ix, cell_iy))""")
+def _(t):
+    start = max(d.agg(F.min("t_us")).first()[0] for d in (t.traj_a, t.traj_b))
+    p = pairs(t).withColumns({"segment": F.floor((F.col("t_us") - start) / 86400e6), "cell_ix": C.cell("x", 20.0), "cell_iy": C.cell("y", 20.0)})
+    m = J.metrics_report(p)
+    return m.select("grouping", "kind", "segment", "cell_ix", "cell_iy", "count", *[r6(c).alias(c) for c in ("signed_mean_m", "mae_m", "rmse_m", "p95_m")])
+
+
 @query("a26_percentile_variants", """WITH s AS (SELECT topic, list_sort(list(y)) v, count(*) n FROM traj GROUP BY 1)
 SELECT topic, v[CAST(ceil(0.95*n) AS BIGINT)] AS nearest_rank, v[CAST(round_even((n-1)*0.9, 0) AS BIGINT)+1] AS even_index, (v[CAST(floor((n+1)/2) AS BIGINT)]+v[CAST(floor(n/2) AS BIGINT)+1])/2 AS median FROM s""")
 def _(t):
