@@ -422,9 +422,28 @@ def reject_overhead(o: DataFrame, overlap: DataFrame) -> DataFrame:
     return j.withColumn("final_class", F.when(bad, "road_overhead_or_dynamic_rejected").otherwise(F.col("navigation_class")))
 
 
-def recover_green(points: DataFrame, ground: DataFrame, road: DataFrame, g: float = 0.25, tile_m: float = 10.0, ground_g: float = 0.2) -> DataFrame:
-    """Narrow planes inside the non-planar layer, per 10 m tile (12-900 columns),
-    kept when tall, grounded and not hanging over measured road."""
+def _quartered(cells: DataFrame, n: int, most: int) -> DataFrame:
+    """``cells(ix, iy, ...)`` with the tile (``_cut, _tx, _ty``) that holds each: tiles of
+    ``n`` cells a side, those with more than ``most`` cells cut into quarters, and these
+    again, to ``n / 2^_cut`` cells.  Cells are distinct, so the side bounds the steps."""
+    done, rest, k = None, cells, 0
+    while True:
+        tile = lambda c: F.floor(F.col(c) * (1 << k) / n)
+        tiled = rest.withColumns({"_cut": F.lit(k), "_tx": tile("ix"), "_ty": tile("iy")})
+        if math.ceil(n / (1 << k)) ** 2 <= most or 1 << k >= n:
+            return tiled if done is None else done.unionByName(tiled)
+        full = tiled.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > most).drop("_k")
+        fits = tiled.join(full, ["_tx", "_ty"], "left_anti").select(*tiled.columns)
+        done = fits if done is None else done.unionByName(fits)
+        rest = cut(tiled.join(full, ["_tx", "_ty"], "left_semi").select(*cells.columns))
+        k += 1
+
+
+def recover_green(points: DataFrame, ground: DataFrame, road: DataFrame, g: float = 0.25, tile_m: float = 10.0, ground_g: float = 0.2, most: int = 900) -> DataFrame:
+    """Narrow planes inside the non-planar layer, per 10 m tile, kept when tall,
+    grounded and not hanging over measured road.  A tile of more than ``most`` columns is
+    cut into quarters until none has more (tiles of up to ``sqrt(most)`` cells a side cannot);
+    one of under 12 cannot hold a plane, whose least size that is."""
     n = round(tile_m / g)
     keyed = points.withColumns({"ix": C.cell("x", g), "iy": C.cell("y", g)})
     per = keyed.groupBy("ix", "iy", C.cell("z", g).alias("iz")).agg(F.min("z").alias("lo"), F.max("z").alias("hi"))
@@ -432,16 +451,17 @@ def recover_green(points: DataFrame, ground: DataFrame, road: DataFrame, g: floa
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         cols = ["ix", "iy", "plane_id"]
-        if not 12 <= len(pdf) <= 900:
+        if len(pdf) < 12:
             return pd.DataFrame(columns=cols)
         cells = pdf.sort_values(["ix", "iy"])[["ix", "iy"]].to_numpy()
-        tx, ty = int(pdf["_tx"].iloc[0]), int(pdf["_ty"].iloc[0])
+        tx, ty, k = (int(pdf[c].iloc[0]) for c in ("_tx", "_ty", "_cut"))
+        tile = f"{tx}:{ty}" if k == 0 else f"{tx}:{ty}/{1 << k}"
         segs, _ = narrow_planes(cells, g, np.random.default_rng([tx & 0xffffffff, ty & 0xffffffff]), 3, lambda k: min(120, max(48, 2 * k)), 0.24, 0.8, 12,
                                 lambda l, w, c: l >= 3.0 and w <= 0.22 and c >= 0.65, lambda k, l, w, c: k * c * (1.0 - w / 0.25))
-        return pd.DataFrame([(int(x), int(y), f"{tx}:{ty}:{i}") for i, s in enumerate(segs) for x, y in cells[s]], columns=cols)
+        return pd.DataFrame([(int(x), int(y), f"{tile}:{i}") for i, s in enumerate(segs) for x, y in cells[s]], columns=cols)
 
-    t = col.withColumns({"_tx": F.floor(F.col("ix") / n), "_ty": F.floor(F.col("iy") / n)})
-    seg = cut(t.groupBy("_tx", "_ty").applyInPandas(run, "ix bigint, iy bigint, plane_id string"))
+    t = _quartered(cut(col), n, most)
+    seg = cut(t.groupBy("_cut", "_tx", "_ty").applyInPandas(run, "ix bigint, iy bigint, plane_id string"))
     fit = fit_footprint(seg, ["plane_id"], g).join(seg.join(col, ["ix", "iy"]).groupBy("plane_id").agg(F.min("min_z").alias("base_z"), F.max("max_z").alias("top_z")), "plane_id")
     sup = keyed.join(seg, ["ix", "iy"]).withColumnRenamed("plane_id", "object_id")
     over = road_overlap(sup, road, ground_g).withColumnRenamed("object_id", "plane_id")
