@@ -156,4 +156,5 @@ def keep(df: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     id_col, lang_col = options.get("id_col", "doc_id"), options.get("lang_col", "lang")
     out = classify(df, trusted, **options).filter(~F.col("kept") & F.col("doc_id").isNotNull())
     out = cut(out.select(F.col("doc_id").alias("sl_id"), F.col("lang").alias("sl_lang")).sort("sl_id"), "rejected")
-    return df.join(common.sided(out), (df[id_col] == F.col("sl_id")) & (F.coalesce(df[lang_col].cast("string"), F.lit("")) == F.col("sl_lang")), "left_anti")
+    out = common.sided(out)
+    return df.join(out, (df[id_col] == out["sl_id"]) & (F.coalesce(df[lang_col].cast("string"), F.lit("")) == out["sl_lang"]), "left_anti")

@@ -71,7 +71,9 @@ def mix(df: DataFrame, seed: int = 0, id_col: str = "doc_id", source_col: str =
     counted = joined.withColumn("sl_n", F.aggregate(draws, F.lit(0), lambda a, x: a + x)).filter("sl_n > 0")
     out = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("sl_n"))))
     if shuffle:
-        out = out.withColumn("sl_key", F.xxhash64(F.lit(seed), F.col(name[id_col]), "copy"))
+        # Rows without an id are told apart by their texts, so that they are no single key.
+        ident = F.col(name[id_col])
+        out = out.withColumn("sl_key", F.when(ident.isNull(), F.xxhash64(F.lit(seed), F.md5(text_of(name[text_col])), "copy")).otherwise(F.xxhash64(F.lit(seed), ident, "copy")))
         out = out.repartition("sl_key").sortWithinPartitions("sl_key", name[id_col], "copy")
     return out.select(*(F.col(f"in{i}").alias(c) for i, c in enumerate(own)), "copy")
 

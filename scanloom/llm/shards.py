@@ -25,12 +25,14 @@ def assign(df: DataFrame, limit: int = SHARD_BYTES, keys: tuple[str, ...] = ("do
     texts have no bytes, an empty table gives no rows.  Existing columns of the added
     names are replaced."""
     added = ["shard", "shard_depth", "shard_part", "shard_bytes", "shard_rows"]
-    key = F.concat_ws("\x1f", *(F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys))
     base = df.drop(*added)
-    sized = base.withColumns({"sl_h": extendible.hex_key(F.md5(key)), "sl_w": F.octet_length(text_of(text_col)).cast("bigint")})
-    pages = extendible.grow(sized.select(F.col("sl_h").alias("h"), F.col("sl_w").alias("w")), limit)
     own = base.columns
-    found = extendible.look_up(sized.withColumnsRenamed({c: f"in{i}" for i, c in enumerate(own)}), pages, "sl_h")
+    name = {c: f"in{i}" for i, c in enumerate(own)}
+    key = F.concat_ws("\x1f", *(F.coalesce(F.col(name[k]).cast("string"), F.lit("\x00")) for k in keys))
+    sized = base.withColumnsRenamed(name).withColumns({"sl_h": extendible.hex_key(F.md5(key)), "sl_w": F.octet_length(text_of(name[text_col])).cast("bigint")})
+    pages = extendible.grow(sized.select(F.col("sl_h").alias("h"), F.col("sl_w").alias("w")), limit)
+    found = extendible.look_up(sized, pages, "sl_h")
+
     def named(rows, prefix, part):
         return rows.select(*(F.col(f"in{i}").alias(c) for i, c in enumerate(own)),
                            F.concat_ws(":", *prefix, "depth", "bucket").alias("shard"), F.col("depth").alias("shard_depth"),
