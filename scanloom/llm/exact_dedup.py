@@ -1,22 +1,26 @@
 """Exact duplicates through an extendible-hash index on shared files.
 
-1. Insert: rows are grouped by hash and whole normalised text.  Spark sums a group in
-   each task before the shuffle, so a text that a third of all rows share moves once a
-   task; texts that only share the hash differ in their bytes and stay apart as links
-   of one chain.
-2. The entries (hash, digest, row that stays, size; no text) get buckets of an
-   extendible-hash directory and are written in key ranges, one owner task a range.
-3. Lookup: every row finds its entry by hash and digest.
+1. Digests: texts are read once; what a later step needs of a row (id, length, digest,
+   hash bits) is written without its text.
+2. Directory: grown from the distinct hashes; buckets with too many of them split on
+   another bit, and the slots of an oversized bucket's page are doubled.
+3. Insert: a row goes through the directory (hash bits -> slot -> bucket).  Only texts
+   whose hash occurs again are moved: inside a bucket they are grouped by hash and
+   whole normalised text, so their bytes are compared.  Spark sums a group in each task before
+   the shuffle, so a text that a third of all rows share moves once a task.
+4. Buckets are dealt to owner tasks in ranges of keys, whole buckets to one task, and
+   written in their order.  Entries of one hash are links of a chain.
+5. Lookup: hash bits -> slot -> bucket -> chain; a row takes the link of its digest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scanloom.llm import extendible
-from scanloom.llm.common import text_of
-from scanloom.session import cut
+from scanloom.llm.common import sided, text_of
+from scanloom.session import cut, drop
 
 #: Characters that do not count: fixed values, [\x20\x09-\x0D].
 BLANK = " \t\n\x0b\x0c\r"
@@ -31,32 +35,51 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("text_sha256", F.sha2("norm", 256)).withColumn("h", extendible.hex_key(F.col("text_sha256")))
 
 
-def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """The index: h, text_sha256, keep_id, keep_cp, group_size, depth, bucket."""
+def _bucketed(df: DataFrame, pages: list) -> DataFrame:
+    """``df(h, ...)`` with depth and bucket of its rows, by the directory."""
+    return extendible.look_up(df, pages, "h").drop("bucket_w", "bucket_n")
+
+
+def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, list, DataFrame]:
+    """The written digests of all rows (doc_id, n_cp, text_sha256, h), the pages of the
+    directory, and the written index: depth, bucket, h, link, text_sha256, keep_id,
+    keep_cp, group_size."""
     # One number ranks by code points, then by smallest id (null last): n_cp * 2^64 - (id + 2^63).
     rank = F.expr(f"cast(cast(n_cp as decimal(11,0)) * {_TOP} as decimal(38,0)) - coalesce(cast(doc_id as decimal(20,0)) + cast('9223372036854775808' as decimal(20,0)), {_TOP} - 1)").cast("decimal(38,0)")
-    texts = _keyed(df, id_col, text_col).groupBy("h", "norm").agg(F.count("*").alias("group_size"), F.max(rank).alias("best"))
-    entries = texts.select("h", F.sha2("norm", 256).alias("text_sha256"), "group_size", "best")
-    entries = entries.withColumn("_id", F.expr(f"pmod(-best, {_TOP})")).withColumn("keep_cp", F.expr(f"cast((best + _id) / {_TOP} as bigint)"))
+    digests = cut(_keyed(df, id_col, text_col).drop("norm"), "digests")
+    hashes = cut(digests.groupBy("h").agg(F.count("*").alias("n")), "hashes")
+    pages = extendible.grow(hashes.select("h", F.lit(1).cast("bigint").alias("w")), bucket_entries)
+    again = cut(hashes.filter("n > 1").select("h"), "again")
+
+    texts = _bucketed(_keyed(df, id_col, text_col).drop("text_sha256").join(sided(again), "h", "left_semi"), pages)
+    texts = texts.groupBy("depth", "bucket", "h", "norm").agg(F.count("*").alias("group_size"), F.max(rank).alias("best"))
+    entries = texts.select("depth", "bucket", "h", F.sha2("norm", 256).alias("text_sha256"), "group_size", "best")
+    entries = entries.withColumn("_id", F.expr(f"pmod(-best, {_TOP})")).withColumn("keep_cp", F.expr(f"cast((best + _id) / {_TOP} as int)"))
     entries = entries.withColumn("keep_id", F.expr(f"case when _id = {_TOP} - 1 then null else cast(_id - cast('9223372036854775808' as decimal(20,0)) as bigint) end"))
-    entries = cut(entries.select("h", "text_sha256", "group_size", "keep_cp", "keep_id"), "entries")
-    pages = extendible.grow(entries.select("h", F.lit(1).cast("bigint").alias("w")), bucket_entries)
-    owned = extendible.look_up(entries, pages, "h").drop("bucket_w", "bucket_n")
-    return cut(owned.repartitionByRange("h").sortWithinPartitions("h", "text_sha256"), "index")
+    alone = _bucketed(digests.join(sided(again), "h", "left_anti"), pages)
+    alone = alone.select("depth", "bucket", "h", "text_sha256", F.lit(1).cast("bigint").alias("group_size"), F.col("n_cp").alias("keep_cp"), F.col("doc_id").alias("keep_id"))
+
+    # Buckets lie side by side on the keys, so a range of first keys is whole buckets.
+    first = F.expr(f"shiftleft(bucket, {extendible.BITS} - depth)")
+    owned = entries.select(*alone.columns).unionByName(alone).withColumn("first_key", first).repartitionByRange("first_key")
+    chain = Window.partitionBy("first_key", "h").orderBy("text_sha256")
+    index = cut(owned.withColumn("link", F.row_number().over(chain)).drop("first_key"), "index")
+    drop(hashes, again)
+    return digests, pages, index
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, bucket, depth: one row per row.
+    """doc_id, keep_id, group_size, kept, text_sha256, bucket, depth, link: one row per row.
 
     Texts are equal when they are the same without the characters of ``BLANK``; null
     counts as empty, and all empty texts are one group.  The row with the most code
     points stays, then the smallest id (null ids come last).  Rows that repeat both id
     and text carry the same flags.  Other columns are not read; an empty table gives
     no rows."""
-    index = build_index(df, id_col, text_col, bucket_entries)
-    rows = _keyed(df, id_col, text_col).drop("norm")
-    return rows.join(index, ["h", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_cp") == F.col("keep_cp"))).alias("kept"), "text_sha256", "depth", "bucket")
+    digests, pages, index = build_index(df, id_col, text_col, bucket_entries)
+    rows = _bucketed(digests, pages)
+    return rows.join(index, ["depth", "bucket", "h", "text_sha256"]).select(
+        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_cp") == F.col("keep_cp"))).alias("kept"), "text_sha256", "depth", "bucket", "link")
 
 
 #: DuckDB's text of ``exact_dedup``.

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from scanloom.llm import exact_dedup, extendible, mixing, queries, shards
 
@@ -90,6 +91,28 @@ def test_dedup_odd_inputs(spark):
     assert exact_dedup.exact_dedup(df.filter("false")).collect() == []
 
 
+def test_dedup_chains_and_buckets(spark, monkeypatch):
+    """Sixteen hashes for sixty texts: chains of several links, each with its own bytes;
+    whole buckets are in one file; without the directory no row is found."""
+    monkeypatch.setattr(extendible, "hex_key", lambda d: F.shiftleft(F.conv(F.substring(d, 1, 1), 16, 10).cast("bigint"), 56))
+    rows = [(i, f"text {i % 60}" + " " * (i % 3)) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = exact_dedup.exact_dedup(df, bucket_entries=2).collect()
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t.replace(" ", "")].append((-len(t), i))
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == {(i, min(g)[1], len(g)) for g in groups.values() for _, i in g} and len(got) == 150
+    chains = defaultdict(set)
+    for r in got:
+        chains[r.depth, r.bucket, r.text_sha256[0]].add((r.link, r.text_sha256))
+    assert max(map(len, chains.values())) > 2 and all(sorted(k for k, _ in c) == list(range(1, len(c) + 1)) for c in chains.values())
+    digests, pages, index = exact_dedup.build_index(df, bucket_entries=2)
+    files = index.select("depth", "bucket", F.input_file_name().alias("file")).groupBy("depth", "bucket").agg(F.countDistinct("file").alias("n")).collect()
+    assert len(files) > 4 and all(r.n == 1 for r in files)
+    lost = exact_dedup._bucketed(digests, [(bits, page.filter("false")) for bits, page in pages])
+    assert lost.join(index, ["depth", "bucket", "h", "text_sha256"]).count() == 0
+
+
 def slow_count(seed, doc_id, mean):
     pieces = max(1, math.ceil(mean / mixing.PIECE))
     total = 0
