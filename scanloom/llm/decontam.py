@@ -12,12 +12,16 @@ items at or above ``min_score`` are retrieved, by upper bounds that never lose o
 - windows that pass are tested against the block maxima of the posting lists, and only
   blocks of items whose bound reaches the threshold are opened and scored.
 
-What is retrieved is verified: the shares of the question's and of the answer's
-five-word shingles that the passage has.  The answer is an item's last sentence; an item
-of one sentence is all question.
-
-The index is made from the benchmark in blocks of about ``ITEMS`` items, each broadcast on its
-own and bounded by that number, and the documents are read once a block.
+What is retrieved is verified, question and answer apart, by the greater of two shares:
+that of the part's five-word shingles which the passage has, and one less the word edits
+(insert, leave out, replace) from the part to the nearest stretch of the passage over the
+part's length.  One changed word breaks five shingles, so for short parts the edits find
+what the shingles lose.  The answer is an item's last sentence; an item of one sentence
+is all question.
+
+The index is made from the benchmark in blocks of about ``ITEMS`` items and ``ITEM_BYTES``
+bytes of text, each broadcast on its own and bounded by these numbers, and the documents
+are read once a block.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, WORDS = 0.6, 0.8, 5
 #: Items of one index, items of one block of its lists, and what the terms of the second rank may add up to.
 ITEMS, BLOCK, SLACK = 20_000, 16, 0.1
+#: Bytes of text of the items of one index.
+ITEM_BYTES = 16 << 20
 #: Bytes of text whose windows are held at once.
 STEP_BYTES = 1 << 20
 _WORD = re.compile(r"\w+")
@@ -58,14 +64,28 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return [w for s in cut[:-1] for w in s], cut[-1]
 
 
+def resemblance(part: list[str], words: list[str]) -> float:
+    """1 - edits / length, where edits are the least word edits from ``part`` to a stretch of ``words``."""
+    ids = {w: k for k, w in enumerate(dict.fromkeys(part))}
+    row = np.array([ids.get(w, -1) for w in words], np.int64)
+    at = np.arange(len(row) + 1)
+    cost = np.zeros(len(row) + 1, np.int64)  # a stretch may begin anywhere
+    for w in part:
+        step = np.append(cost[0] + 1, np.minimum(cost[1:] + 1, cost[:-1] + (row != ids[w])))
+        cost = np.minimum.accumulate(step - at) + at  # words of the passage that the part lacks
+    return 1 - int(cost.min()) / len(part)
+
+
 class Index:
     """Posting lists of one block of items; plain arrays, so that it is small to send."""
 
     def __init__(self, items: list[tuple]):
         self.ids = [i for i, _ in items]
-        self.parts = [tuple(shingles(p) for p in question_answer(t)) for _, t in items]
+        self.texts = [question_answer(t) for _, t in items]
+        self.parts = [tuple(shingles(p) for p in t) for t in self.texts]
         docs = [words_of(t) for _, t in items]
-        self.step = max([32, *map(len, docs)])
+        # an altered copy may be a fifth longer than its item, by MIN_OVERLAP
+        self.step = max([32, *(-(-6 * len(d) // 5) for d in docs)])
         self.term: dict[str, int] = {}
         counts = []
         for n, d in enumerate(docs):
@@ -163,17 +183,25 @@ def matches(ix: Index, docs: list[list[str]], min_score: float, min_overlap: flo
         for s in short:
             have.update(tuple(words[k:k + len(s)]) for k in range(len(words) - len(s) + 1))
         q, a = (len(p & have) / len(p) if p else 1.0 for p in ix.parts[i])
+        # a word that the passage lacks is an edit at least
+        known = set(words)
+        likely = [sum(w in known for w in t) >= min_overlap * len(t) for t in ix.texts[i]]
+        if likely[0] and likely[1]:
+            if q < min_overlap:
+                q = max(q, resemblance(ix.texts[i][0], words))
+            if q >= min_overlap > a:
+                a = max(a, resemblance(ix.texts[i][1], words))
         if q >= min_overlap and a >= min_overlap:
             best[d, i] = max(best.get((d, i), (0.0, 0.0, 0.0)), (score, q, a if answer else 1.0))
     return best
 
 
 def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", per_index: int = ITEMS):
-    """Indexes over blocks of about ``per_index`` items, one after the other; a block is all that
-    the driver holds.  Items without words are in no index."""
+    """Indexes over blocks of about ``per_index`` items and ``ITEM_BYTES``, one after the other; a
+    block is all that the driver holds.  Items without words are in no index."""
     items = items.select(F.col(id_col).alias("item_id"), text_of(text_col).alias("text"))
-    n = items.count()
-    blocks = max(1, -(-n // per_index)) if n else 0
+    n, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    blocks = max(-(-n // per_index), -(-size // ITEM_BYTES), 1) if n else 0
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).sort("item_id", "text")
         rows = [(r.item_id, r.text) for r in part.collect() if words_of(r.text)]

@@ -1,19 +1,39 @@
 """Decontamination against brute force over all windows and items."""
 
+import random
+
 import numpy as np
 
 from scanloom.llm import decontam as D
 
 
+def slow_edits(part, words):
+    """Least word edits from ``part`` to any stretch of ``words``, cell by cell."""
+    prev = [0] * (len(words) + 1)
+    for i, p in enumerate(part, 1):
+        row = [i]
+        for j, w in enumerate(words, 1):
+            row.append(min(prev[j] + 1, row[-1] + 1, prev[j - 1] + (p != w)))
+        prev = row
+    return min(prev)
+
+
+def slow_has(part, have, words):
+    if not part or len(D.shingles(part) & have) >= 0.8 * len(D.shingles(part)):
+        return True
+    known = set(words)
+    return sum(w not in known for w in part) <= 0.2 * len(part) and 1 - slow_edits(part, words) / len(part) >= 0.8
+
+
 def slow(docs, items):
-    """Pairs by shingle overlap alone, over all positions of the whole text."""
+    """Pairs by shingles and word edits alone, over all positions of the whole text."""
     out = set()
     for d, t in docs:
         w = D.words_of(t or "")
         have = {tuple(w[i:i + n]) for n in range(1, 6) for i in range(len(w) - n + 1)}
         for i, x in items:
-            q, a = (D.shingles(p) for p in D.question_answer(x or ""))
-            if q and len(q & have) >= 0.8 * len(q) and len(a & have) >= 0.8 * len(a):
+            q, a = D.question_answer(x or "")
+            if q and slow_has(q, have, w) and slow_has(a, have, w):
                 out.add((d, i))
     return out
 
@@ -70,3 +90,32 @@ def test_odd_inputs(spark):
         assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 5, 6]
     assert D.leaks(docs.filter("false"), items).collect() == [] and D.leaks(docs, items.filter("false")).collect() == []
     assert D.clean(docs, items.filter("false")).count() == len(rows)
+
+
+def test_resemblance_by_cells():
+    rnd = random.Random(3)
+    for _ in range(300):
+        part = [rnd.choice("abcdef") for _ in range(rnd.randrange(1, 12))]
+        words = [rnd.choice("abcdefgh") for _ in range(rnd.randrange(0, 30))]
+        assert np.isclose(D.resemblance(part, words), 1 - slow_edits(part, words) / len(part))
+
+
+def test_altered_copies_are_found(spark):
+    """One or two words of every item replaced, left out or put in, inside other text: 0.9 or
+    more are found; items with half their words replaced are not, nor are the other items."""
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text").collect()]
+    ix, rnd = D.Index(items), random.Random(5)
+    filler = [f"filler{k}" for k in range(200)]
+    for kind in ("replace", "leave", "insert"):
+        for edits in (1, 2):
+            docs = []
+            for _, t in items:
+                w = D.words_of(t)
+                for at in sorted(rnd.sample(range(len(w)), edits), reverse=True):
+                    w[at:at + (kind != "insert")] = [] if kind == "leave" else ["altered"]
+                docs.append(filler[:rnd.randrange(100)] + w + filler[100:])
+            found = D.matches(ix, docs, D.MIN_SCORE, D.MIN_OVERLAP)
+            assert sum((k, k) in found for k in range(len(items))) >= 0.9 * len(items), (kind, edits)
+            assert all(k == i for k, i in found)
+    half = [[w if k % 2 else "other" for k, w in enumerate(D.words_of(t))] for _, t in items]
+    assert not D.matches(ix, half, D.MIN_SCORE, D.MIN_OVERLAP)
