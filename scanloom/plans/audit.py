@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions import columns as C
 from scanloom.operators import audit as A
+from scanloom.operators import freeze as Z
 from scanloom.operators import ordered as O
 from scanloom.operators import trajectory as J
 from scanloom.plans import boundaries as PB
@@ -195,7 +196,7 @@ def _(t):
     return A.conservation(t.points.groupBy("frame_id").agg(F.count(F.lit(1)).alias("n")), "n", t.points)
 
 
-def frozen(t, changed=False):
+def freeze_files(t, changed=False):
     """One text file a nation; ``changed`` leaves one out, alters one and adds one."""
     n = F.col("c_nationkey")
     d = t.customer.select(n.alias("n"), "c_custkey", F.concat_ws(" ", "c_custkey", "c_mktsegment").alias("value"))
@@ -203,8 +204,20 @@ def frozen(t, changed=False):
         d = d.filter("n <> 3").withColumn("value", F.when(F.col("n") == 5, F.concat("value", F.lit("!"))).otherwise(F.col("value"))).withColumn("n", F.when(F.col("n") == 7, 77).otherwise(F.col("n")))
     out = scratch(t.spark, "freeze")
     d.repartition("n").sortWithinPartitions("n", "c_custkey").select("value", "n").write.partitionBy("n").text(out)
-    m = A.freeze_manifest(t.spark, out).filter(F.col("path").rlike("part-"))
-    return m.withColumn("path", F.regexp_extract("path", r"(n=\d+)/", 1))
+    return out
+
+
+def by_nation(files):
+    return files.filter(F.col("path").rlike("part-")).withColumn("path", F.regexp_extract("path", r"(n=\d+)/", 1))
+
+
+def frozen(t, changed=False):
+    return by_nation(A.freeze_manifest(t.spark, freeze_files(t, changed)))
+
+
+def frozen_tree(t, changed=False):
+    """Small blocks, so that the files of the given tables have trees of several levels."""
+    return Z.digest_tree(by_nation(Z.block_digests(t.spark, freeze_files(t, changed), 256)), 4)
 
 
 @query("q05_freeze_manifest", "SELECT 'n=' || c_nationkey AS path, CAST(sum(strlen(c_custkey || ' ' || c_mktsegment) + 1) AS BIGINT) AS bytes, sha256(string_agg(c_custkey || ' ' || c_mktsegment || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY c_nationkey")
@@ -224,6 +237,28 @@ def _(t):
     return A.tree_digest(m).select("files").withColumn("changes", F.lit(A.verify_freeze(m, frozen(t)).count()))
 
 
+_LEAVES = """SELECT path, strlen(body) AS bytes, CAST(ceil(strlen(body) / 256.0) AS BIGINT) AS nodes, u.slot, sha256(substr(body, CAST(u.slot * 256 + 1 AS BIGINT), 256)) AS sha256
+FROM (SELECT 'n=' || n AS path, string_agg(v || chr(10), '' ORDER BY c_custkey) AS body FROM {rows} GROUP BY n) f, unnest(range(CAST(ceil(strlen(body) / 256.0) AS BIGINT))) u(slot)"""
+_BEFORE = "(SELECT c_nationkey AS n, c_custkey, c_custkey || ' ' || c_mktsegment AS v FROM customer) r"
+_AFTER = "(SELECT CASE c_nationkey WHEN 7 THEN 77 ELSE c_nationkey END AS n, c_custkey, c_custkey || ' ' || c_mktsegment || CASE c_nationkey WHEN 5 THEN '!' ELSE '' END AS v FROM customer WHERE c_nationkey <> 3) r"
+
+
+@query("q05_block_digest_tree", f"""WITH RECURSIVE leaves AS ({_LEAVES.format(rows=_BEFORE)}),
+t AS (SELECT path, bytes, 0 AS level, slot, nodes, sha256 FROM leaves
+UNION ALL SELECT path, bytes, level + 1, slot // 4, (nodes + 3) // 4, sha256(string_agg(sha256, '' ORDER BY slot)) FROM t WHERE nodes > 1 GROUP BY path, bytes, level, nodes, slot // 4)
+SELECT path, CAST(bytes AS BIGINT) AS bytes, CAST(level AS INT) AS level, CAST(slot AS BIGINT) AS slot, CAST(nodes AS BIGINT) AS nodes, sha256 FROM t""")
+def _(t):
+    return frozen_tree(t)
+
+
+@query("q06_changed_blocks", f"""WITH a AS ({_LEAVES.format(rows=_BEFORE)}), b AS ({_LEAVES.format(rows=_AFTER)}),
+d AS (SELECT path, slot AS block, a.sha256 AS was, b.sha256 AS now FROM a FULL JOIN b USING (path, slot) WHERE a.sha256 IS DISTINCT FROM b.sha256),
+h AS (SELECT was AS now, path AS from_path, block AS from_block FROM d WHERE was IS NOT NULL QUALIFY row_number() OVER (PARTITION BY was ORDER BY path, block) = 1)
+SELECT path, block, CASE WHEN d.now IS NULL THEN 'missing' WHEN h.now IS NOT NULL THEN 'moved' WHEN was IS NULL THEN 'added' ELSE 'changed' END AS state, from_path, from_block FROM d LEFT JOIN h USING (now)""")
+def _(t):
+    return Z.changed_blocks(frozen_tree(t), frozen_tree(t, True))
+
+
 @query("q07_semantic_invariants", """SELECT id, 'constraint confidence above cap' AS violation FROM (SELECT c_custkey id, (c_custkey % 100)/100.0 conf FROM customer) WHERE conf > 0.49 AND id % 3 = 0
 UNION ALL SELECT c_custkey, 'inferred shown as observed' FROM customer WHERE c_custkey % 3 = 1 AND c_custkey % 2 = 0""")
 def _(t):
