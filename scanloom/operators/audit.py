@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from scanloom.operators import freeze as Z
 from scanloom.operators import ordered as O
 
 
@@ -122,10 +123,12 @@ def conservation(parts: DataFrame, count_col: str, total: DataFrame) -> DataFram
 
 
 def freeze_manifest(spark, path: str) -> DataFrame:
-    """Path, size and SHA-256 of every file below ``path``."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    root = path.rstrip("/")
-    return f.select(F.regexp_replace("path", r"^.*?" + root.lstrip("/") + "/", "").alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """Path, size and SHA-256 of every file below ``path``, empty ones too.  A file's content is one
+    row here, so files stop at 2 GB; ``freeze`` has digests by block for files of any size."""
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    digests = whole.select(F.regexp_replace("path", "^file:/+", "file:/").alias("uri"), F.sha2("content", 256).alias("sha256"))
+    files = Z.listed_files(spark, path).join(digests, "uri", "left")
+    return files.select("path", "bytes", F.coalesce("sha256", F.when(F.col("bytes") == 0, F.sha2(F.lit(b""), 256))).alias("sha256"))
 
 
 def tree_digest(manifest: DataFrame) -> DataFrame:

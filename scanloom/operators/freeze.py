@@ -51,17 +51,24 @@ def _plain(uri: str):
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def block_digests(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """path (below the given one), bytes (of the file), blocks (of the file), block, sha256.
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """path (below the given one), uri, bytes of every file below ``path``.
 
-    An empty file has one empty block.  Spark lists the files without their contents; its
-    scan leaves out empty files, which are added from its index of names."""
+    Spark lists the files without their contents; its scan leaves out empty files, which are
+    added from its index of names."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     names = spark.createDataFrame([(unquote(n),) for n in found.inputFiles()], "uri string").withColumn("uri", _plain("uri"))
     listed = names.join(found.select(_plain("path").alias("uri"), F.col("length").alias("bytes")), "uri", "left").fillna(0, ["bytes"])
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("bytes") / block_bytes))
     below = F.split("uri", r"\Q" + re.sub(r"^\w+:/*", "/", path).rstrip("/") + r"/\E", 2)
-    rows = listed.select(below[1].alias("path"), "uri", "bytes", blocks.alias("blocks"))
+    return listed.select(below[1].alias("path"), "uri", "bytes")
+
+
+def block_digests(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """path (below the given one), bytes (of the file), blocks (of the file), block, sha256.
+
+    An empty file has one empty block."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("bytes") / block_bytes))
+    rows = listed_files(spark, path).withColumn("blocks", blocks)
     total, n = rows.agg(F.sum("bytes"), F.sum("blocks")).first()
     tasks = max(-(-(total or 0) // TASK_BYTES), min(n or 1, spark.sparkContext.defaultParallelism), 1)
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).repartition(tasks, "uri", "block")

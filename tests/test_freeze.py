@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 
+from scanloom.operators import audit as A
 from scanloom.operators import freeze as Z
 
 
@@ -32,6 +33,8 @@ def test_tree_and_changes(spark, tmp_path):
     rnd = random.Random(1)
     files = {"a b.bin": rnd.randbytes(1000), "sub/empty": b"", "sub/one": b"x", "exact": rnd.randbytes(160), "gone": rnd.randbytes(50), "same": rnd.randbytes(333), "grows": rnd.randbytes(90)}
     one = put(tmp_path / "one.d", files)
+    whole = {r.path: (r.bytes, r.sha256) for r in A.freeze_manifest(spark, one).collect()}
+    assert whole == {p: (len(b), sha(b)) for p, b in files.items()}
     tree = Z.digest_tree(Z.block_digests(spark, one, 16), 3)
     got = {}
     for r in tree.collect():
